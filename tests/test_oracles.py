@@ -1,0 +1,59 @@
+"""Every registered query against its SQL counterpart."""
+
+import math
+import os
+
+import duckdb
+import pytest
+from conftest import SF_CHECK
+
+import __spark_entry__ as entry_points
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+QUERIES = entry_points.queries()
+ORACLES = entry_points.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in TABLES:
+        path = f"{SF_CHECK}/{name}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    yield con
+    con.close()
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return ("nan",) if math.isnan(value) else (repr(value),)
+    return (str(value),)
+
+
+def _sorted_rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def test_each_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, duck, name):
+    got = QUERIES[name](spark, SF_CHECK)
+    cursor = duck.execute(ORACLES[name])
+    names = [c[0] for c in cursor.description]
+    expected = cursor.fetchall()
+    assert sorted(got.columns) == sorted(names)
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(expected)
+    assert _sorted_rows(got.columns, rows) == _sorted_rows(names, expected)
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() > 0
