@@ -1,3 +1,3 @@
-from spendscope.plans.analysis import Analysis, analyse
+from spendscope.plans.analysis import Analysis, analyse, load
 
-__all__ = ["Analysis", "analyse"]
+__all__ = ["Analysis", "analyse", "load"]

@@ -5,14 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from spendscope.operators.criteria import interesting_summary, interesting_users, user_flags
 from spendscope.operators.features import with_features
 from spendscope.operators.profiles import user_profiles
-from spendscope.operators.segments import DIMENSIONS, compare_segments, split
+from spendscope.operators.segments import DIMENSIONS, compare_segments, segment_row_share, split
 from spendscope.operators.stats import category_stats, hourly_stats, state_stats
 from spendscope.params import Params
+from spendscope.session import stored
+from spendscope.sources.readers import read_csv, read_parquet
+from spendscope.sources.sinks import write_parquet
 
 
 @dataclass
@@ -29,12 +32,14 @@ class Analysis:
     summary: DataFrame
     interesting: DataFrame
     normal: DataFrame
+    row_share: DataFrame
     comparison: DataFrame
-    _kept: list[DataFrame] = field(default_factory=list)
+    _cached: list[DataFrame] = field(default_factory=list)
 
     def release(self) -> None:
-        while self._kept:
-            self._kept.pop().unpersist()
+        """Drop cached rows; tables in the scratch folder stay."""
+        while self._cached:
+            self._cached.pop().unpersist()
 
     def __enter__(self) -> Analysis:
         return self
@@ -42,33 +47,62 @@ class Analysis:
     def __exit__(self, *_: object) -> None:
         self.release()
 
+    def write(self, path: str) -> None:
+        """Write each result table to its own folder below ``path``."""
+        tables = {
+            "category_stats": self.category_stats,
+            "hourly_stats": self.hourly_stats,
+            "state_stats": self.state_stats,
+            "profiles": self.profiles,
+            "flags": self.flags,
+            "users": self.users,
+            "summary": self.summary,
+            "row_share": self.row_share,
+            "comparison": self.comparison,
+        }
+        for name, frame in tables.items():
+            if frame is not None:
+                write_parquet(frame, f"{path.rstrip('/')}/{name}")
+
+
+def load(spark: SparkSession, *paths: str) -> DataFrame:
+    """Transactions from the first path that exists; CSV by its ending, else Parquet."""
+    if all(p.endswith((".csv", ".csv.gz")) for p in paths):
+        return read_csv(spark, *paths)
+    return read_parquet(spark, *paths)
+
 
 def analyse(
     df: DataFrame,
     params: Params = Params(),
+    store: bool = True,
     cache_features: bool = False,
-    cache_users: bool = True,
     partitions: int | None = None,
 ) -> Analysis:
-    """Build every result of the analysis; no job runs here.
+    """Build every result of the analysis.
 
-    The profiles and flags, one row per user, are kept because several results read them.
-    The features are cheap to derive again from a columnar source, so keeping them (and
-    spreading them over ``partitions`` first) is worth it only for a source that is slow to
-    read, such as CSV.
-    """
-    kept: list[DataFrame] = []
-
-    def keep(frame: DataFrame, wanted: bool) -> DataFrame:
-        if wanted:
-            kept.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
-        return frame
+    Profiles and flags hold one row per user and several results read them. With ``store``
+    they are computed right here and written to the scratch folder, so nothing later repeats
+    their work and joins know their size; otherwise everything stays lazy.
 
-    source = df.repartition(partitions) if partitions else df
-    tx = keep(with_features(source, params), cache_features)
-    profiles = keep(user_profiles(tx, params), cache_users)
-    flags = keep(user_flags(profiles, tx, params), cache_users)
+    Features are cheap to derive again from a columnar source. Caching them, and spreading
+    the rows over ``partitions`` first, is for sources that are slow to read, such as CSV.
+    """
+    cached: list[DataFrame] = []
+    tx = with_features(df.repartition(partitions) if partitions else df, params)
+    if cache_features:
+        tx = tx.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(tx)
+    profiles = user_profiles(tx, params)
+    if store:
+        profiles = stored(profiles, "profiles")
+    flags = user_flags(profiles, tx, params)
+    if store:
+        flags = stored(flags, "flags")
     users = interesting_users(flags)
+    if store:
+        # Its own table, so that a join sees the size of the ids and not of all flags.
+        users = stored(users, "users")
     interesting, normal = split(tx, users)
     dimensions = [d for d in DIMENSIONS if d in tx.columns]
     return Analysis(
@@ -82,6 +116,7 @@ def analyse(
         summary=interesting_summary(flags),
         interesting=interesting,
         normal=normal,
+        row_share=segment_row_share(tx, users),
         comparison=compare_segments(tx, users, dimensions, params),
-        _kept=kept,
+        _cached=cached,
     )

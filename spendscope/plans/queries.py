@@ -13,7 +13,7 @@ from spendscope.operators.features import with_features
 from spendscope.operators.quantiles import exact_quantile
 from spendscope.params import Params
 from spendscope.schemas import TRANSACTIONS
-from spendscope.session import scratch_path
+from spendscope.session import scratch_path, stored
 from spendscope.sources import readers, sinks
 from spendscope.sources.testdata import table, transactions
 
@@ -48,8 +48,10 @@ def _profiles(spark: SparkSession, sf_dir: str, params: Params = TUNED) -> tuple
     return tx, profiles.user_profiles(tx, params, facets=("category",))
 
 
-def _users(tx: DataFrame) -> DataFrame:
-    return criteria.interesting_users(criteria.flag_users(tx, TUNED))
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interesting users as a table, so that the planner knows its size."""
+    flags = criteria.flag_users(_tx(spark, sf_dir), TUNED)
+    return stored(criteria.interesting_users(flags), "interesting-users")
 
 
 # Sources and sinks
@@ -317,7 +319,7 @@ def user_flags_prototype(spark, sf_dir):
 
 @query
 def interesting_users(spark, sf_dir):
-    return _users(_tx(spark, sf_dir))
+    return criteria.interesting_users(criteria.flag_users(_tx(spark, sf_dir), TUNED))
 
 
 @query
@@ -337,7 +339,7 @@ def interesting_summary(spark, sf_dir):
 @query
 def segment_row_share(spark, sf_dir):
     tx = _tx(spark, sf_dir)
-    return segments.segment_row_share(tx, _users(tx))
+    return segments.segment_row_share(tx, _users(spark, sf_dir))
 
 
 def _segment_columns(df):
@@ -347,18 +349,18 @@ def _segment_columns(df):
 @query
 def segment_interesting(spark, sf_dir):
     tx = _tx(spark, sf_dir)
-    return _segment_columns(segments.interesting_transactions(tx, _users(tx)))
+    return _segment_columns(segments.interesting_transactions(tx, _users(spark, sf_dir)))
 
 
 @query
 def segment_normal(spark, sf_dir):
     tx = _tx(spark, sf_dir)
-    return _segment_columns(segments.normal_transactions(tx, _users(tx)))
+    return _segment_columns(segments.normal_transactions(tx, _users(spark, sf_dir)))
 
 
 def _compared(spark, sf_dir, dimension):
     tx = _tx(spark, sf_dir, with_state=dimension == "state")
-    return segments.compare_by(tx, _users(_tx(spark, sf_dir)), dimension, TUNED)
+    return segments.compare_by(tx, _users(spark, sf_dir), dimension, TUNED)
 
 
 @query
@@ -384,13 +386,13 @@ def compare_amount_bin(spark, sf_dir):
 @query
 def compare_all_dimensions(spark, sf_dir):
     tx = _tx(spark, sf_dir, with_state=True)
-    return segments.compare_segments(tx, _users(_tx(spark, sf_dir)), segments.DIMENSIONS, TUNED)
+    return segments.compare_segments(tx, _users(spark, sf_dir), segments.DIMENSIONS, TUNED)
 
 
 @query
 def compare_category_by_join(spark, sf_dir):
     tx = _tx(spark, sf_dir)
-    return segments.compare_by_join(tx, _users(tx), "category", TUNED)
+    return segments.compare_by_join(tx, _users(spark, sf_dir), "category", TUNED)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "spendscope", **conf: object) -> SparkSession:
@@ -28,15 +28,31 @@ def build_session(master: str | None = None, app: str = "spendscope", **conf: ob
     return builder.getOrCreate()
 
 
+_local_root: str | None = None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
     Only a local session may fall back to a temporary folder of this machine.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spendscope-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _local_root = _local_root or tempfile.mkdtemp(prefix="spendscope-")
+        root = _local_root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and read it back; this runs a job.
+
+    Later queries start from the table instead of repeating the work, lost executors cost
+    nothing, and the planner knows the size: it broadcasts the table in a join only when
+    that is below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

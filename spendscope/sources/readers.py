@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -42,9 +43,11 @@ def read_csv(
         names = spark.read.options(**CSV_OPTIONS).csv(path).columns
         text = {*times, *(n for n in names if n not in types)}
         fields = [T.StructField(n, T.StringType() if n in text else types[n]) for n in names]
+        # Every file's header is checked, unless a column without a name makes that impossible.
+        unnamed = any(re.fullmatch(r"_c\d+", n) for n in names)
         rows = (
             spark.read.schema(T.StructType(fields))
-            .options(**CSV_OPTIONS, enforceSchema=False)
+            .options(**CSV_OPTIONS, enforceSchema=unnamed)
             .csv(path)
         )
         cast = {

@@ -31,9 +31,9 @@ def transactions(spark: SparkSession, sf_dir: str, with_state: bool = False) ->
     ).drop("lat_shift", "long_shift")
     if not with_state:
         return tx
-    states = (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(F.col("c_custkey").alias("cc_num"), F.col("n_name").alias("state"))
+    # One join after the other: the planner knows the size of each table, not of their join.
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cc_num"), "c_nationkey")
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("state")
     )
-    return tx.join(states, "cc_num", "left")
+    return tx.join(customers, "cc_num", "left").join(nations, "c_nationkey", "left").drop("c_nationkey")

@@ -1,0 +1,72 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from helpers import numbers
+
+from spendscope.operators.quantiles import exact_quantile
+
+
+def nearest_rank(values, p):
+    ordered = sorted(values)
+    return ordered[max(math.ceil(p * len(ordered)), 1) - 1] if ordered else None
+
+
+SHAPES = {
+    "uniform": lambda r: r.random(),
+    "heavy tail": lambda r: math.exp(r.gauss(0, 6)),
+    "few values": lambda r: float(r.randrange(4)),
+    "signed": lambda r: r.gauss(0, 1e9) * 10 ** r.randrange(-9, 9),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("buckets,rounds", [(4096, 2), (3, 1), (2, 4), (7, 0)])
+def test_against_sorting(spark, shape, buckets, rounds):
+    r = random.Random(shape)
+    values = [SHAPES[shape](r) for _ in range(777)]
+    df = numbers(spark, values).cache()
+    for p in (0.0, 0.37, 0.95, 1.0):
+        got = exact_quantile(df, "v", p, buckets=buckets, rounds=rounds).first()[0]
+        assert got == nearest_rank(values, p)
+    got = exact_quantile(df, "v", 0.95, method="interpolated", buckets=buckets, rounds=rounds).first()[0]
+    assert got == pytest.approx(np.quantile(values, 0.95), rel=1e-12)
+    df.unpersist()
+
+
+def test_known_values(spark):
+    df = numbers(spark, [float(i) for i in range(1, 21)])
+    assert exact_quantile(df, "v", 0.95).first()[0] == 19.0
+    assert exact_quantile(df, "v", 0.95, method="interpolated").first()[0] == pytest.approx(19.05)
+
+
+def test_missing_and_infinite(spark):
+    assert exact_quantile(numbers(spark, []), "v", 0.5).collect()[0][0] is None
+    assert exact_quantile(numbers(spark, [None, math.nan]), "v", 0.5).collect()[0][0] is None
+    df = numbers(spark, [None, math.nan, 3.0, 1.0, 2.0])
+    assert exact_quantile(df, "v", 0.5).first()[0] == 2.0
+    wide = numbers(spark, [-math.inf, 1.0, 2.0, 3.0, math.inf])
+    assert exact_quantile(wide, "v", 0.6).first()[0] == 2.0
+    assert exact_quantile(wide, "v", 1.0).first()[0] == math.inf
+    assert exact_quantile(wide, "v", 0.5, method="interpolated").first()[0] == 2.0
+    huge = numbers(spark, [-1.7e308, 0.0, 1.0, 1.7e308])
+    assert exact_quantile(huge, "v", 0.75).first()[0] == 1.0
+
+
+def test_grouped(spark):
+    r = random.Random(5)
+    # One group holds most rows and NULL is a group.
+    data = [(r.choice(["a"] * 8 + ["b", None]), float(r.randrange(10**6))) for _ in range(2000)] + [("c", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {x["k"]: x["m"] for x in exact_quantile(df, "v", 0.5, ["k"], "interpolated", "m").collect()}
+    groups = {}
+    for k, v in data:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    assert got == {k: float(np.quantile(v, 0.5)) for k, v in groups.items()}
+
+
+def test_unknown_method(spark):
+    with pytest.raises(ValueError):
+        exact_quantile(numbers(spark, [1.0]), "v", 0.5, method="other")
