@@ -3,6 +3,7 @@ from spendscope.functions.expressions import (
     day_of_week,
     epoch_micros,
     epoch_seconds,
+    exact_amount,
     exact_span_days,
     guarded_rate,
     is_weekend,
@@ -19,6 +20,7 @@ __all__ = [
     "day_of_week",
     "epoch_micros",
     "epoch_seconds",
+    "exact_amount",
     "exact_span_days",
     "guarded_rate",
     "is_weekend",

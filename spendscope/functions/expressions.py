@@ -74,11 +74,14 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
 
 
+def exact_amount(amt: Column, decimals: int | None = None) -> Column:
+    """The amount as a decimal when its number of decimals is known, else as it is."""
+    return amt if decimals is None else amt.cast(f"decimal(18,{decimals})")
+
+
 def total(amt: Column, decimals: int | None = None) -> Column:
     """Sum as a double; exact when the number of decimals is known."""
-    if decimals is None:
-        return F.sum(amt)
-    return F.sum(amt.cast(f"decimal(18,{decimals})")).cast("double")
+    return F.sum(exact_amount(amt, decimals)).cast("double")
 
 
 def mean(amt: Column, decimals: int | None = None) -> Column:

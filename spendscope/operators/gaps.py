@@ -15,8 +15,7 @@ from spendscope.operators.joins import attach
 from spendscope.params import Params
 
 MICROS = 1_000_000
-CHUNK_SECONDS = 3600
-CHUNK_WINDOWS = 16
+CHUNK_SECONDS = 60
 
 
 def _cell(t: Column, width: int) -> Column:
@@ -55,32 +54,33 @@ def burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
 def window_burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Users with ``window_transactions`` or more within ``gap_seconds`` at some moment.
 
-    That holds when the transaction m - 1 places back is no further than the limit. Of the
-    rows at one instant m are enough to show it, so an instant yields at most m places, and
-    a chunk also receives the places just before its start.
+    A cell as wide as the limit that holds that many rows settles its user at once. Any
+    other such moment spans two adjacent cells, each with fewer rows, so single times are
+    only looked at in adjacent cells that hold enough rows together.
     """
     m, limit = params.window_transactions, params.gap_seconds * MICROS
-    width = limit * CHUNK_WINDOWS
     ts = F.col("trans_date_trans_time")
-    instants = (
+    times = (
         df.where(ts.isNotNull())
-        .groupBy("cc_num", epoch_micros(ts).alias("t"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select("cc_num", epoch_micros(ts).alias("t"))
+        .withColumn("cell", _cell(F.col("t"), limit))
     )
-    home = _cell(F.col("t"), width)
-    chunks = F.when(
-        F.col("t") >= home + (width - limit), F.array(home, home + width)
-    ).otherwise(F.array(home))
-    places = instants.select(
-        "cc_num", "t", "n", F.explode(chunks).alias("chunk")
-    ).select("cc_num", "t", "chunk", F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(m)))).alias("copy"))
-    back = F.lag("t", m - 1).over(Window.partitionBy("cc_num", "chunk").orderBy("t", "copy"))
-    return (
-        places.withColumn("back", back)
+    cells = times.groupBy("cc_num", "cell").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("cc_num").orderBy("cell")
+    before = F.when(F.lag("cell").over(order) == F.col("cell") - limit, F.lag("n").over(order))
+    after = F.when(F.lead("cell").over(order) == F.col("cell") + limit, F.lead("n").over(order))
+    pairs = (
+        cells.withColumn("reach", F.col("n") + F.greatest(before, after))
+        .where((F.col("n") < m) & (F.col("reach") >= m))
+        .select("cc_num", "cell")
+    )
+    back = F.lag("t", m - 1).over(Window.partitionBy("cc_num").orderBy("t"))
+    close = (
+        attach(times, pairs, ["cc_num", "cell"], "inner")
+        .withColumn("back", back)
         .where(F.col("t") - F.col("back") <= limit)
-        .select("cc_num")
-        .distinct()
     )
+    return cells.where(F.col("n") >= m).select("cc_num").union(close.select("cc_num")).distinct()
 
 
 def previous_instants(df: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from spendscope.functions import exact_span_days, guarded_rate, mean, total, whole_span_days
 from spendscope.operators.joins import attach
+from spendscope.operators.usertotals import user_dimension_totals
 from spendscope.params import Params
 
 FACETS = ("category", "merchant", "hour")
@@ -67,37 +68,40 @@ def user_totals(df: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def facet_counts(df: DataFrame, facets: Sequence[str] = FACETS) -> DataFrame:
-    """Transactions per user, facet and value, for several facets in one pass."""
-    return (
-        df.select("cc_num", *(F.col(f).cast("string").alias(f) for f in facets))
-        .unpivot("cc_num", list(facets), "facet", "value")
-        .groupBy("cc_num", "facet", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def user_facets(df: DataFrame, facets: Sequence[str] = FACETS) -> DataFrame:
-    """Distinct categories and merchants and the peak hour of each user.
+def user_facets(totals: DataFrame, facets: Sequence[str] = FACETS) -> DataFrame:
+    """Distinct categories and merchants and the peak hour of each user, from
+    ``user_dimension_totals``.
 
-    The first grouping is by value, so a heavy user spreads over many tasks and reaches the
-    second one as one row per distinct value and task at most.
+    The totals are grouped by value, so a heavy user spreads over many tasks there and comes
+    in here as one row per distinct value.
     """
-    facet, value = F.col("facet"), F.col("value")
-    seen = value.isNotNull()
-    hour = F.when(facet == "hour", value.cast("int"))
+    dimension, value = F.col("dimension"), F.col("value")
+    hour = F.when(dimension == "hour", value.cast("int"))
+    # The earliest of the equally busy hours wins.
+    order = F.when(dimension == "hour", F.struct(F.col("n"), -hour))
     makers = {
-        "category": F.count_if((facet == "category") & seen).alias("unique_categories"),
-        "merchant": F.count_if((facet == "merchant") & seen).alias("unique_merchants"),
-        # The earliest of the equally busy hours wins.
-        "hour": F.max_by(hour, F.when(facet == "hour", F.struct(F.col("n"), -hour))).alias("peak_hour"),
+        "category": F.count_if((dimension == "category") & value.isNotNull()).alias("unique_categories"),
+        "merchant": F.count_if((dimension == "merchant") & value.isNotNull()).alias("unique_merchants"),
+        "hour": F.max_by(hour, order).alias("peak_hour"),
     }
-    return facet_counts(df, facets).groupBy("cc_num").agg(*(makers[f] for f in facets))
+    return (
+        totals.where(dimension.isin(*facets)).groupBy("cc_num").agg(*(makers[f] for f in facets))
+    )
 
 
-def user_profiles(df: DataFrame, params: Params = Params(), facets: Sequence[str] = FACETS) -> DataFrame:
-    """The whole profile; fewer ``facets`` leave their columns out and save the work."""
-    joined = attach(user_totals(df, params), user_facets(df, facets), ["cc_num"])
+def user_profiles(
+    df: DataFrame,
+    params: Params = Params(),
+    facets: Sequence[str] = FACETS,
+    totals: DataFrame | None = None,
+) -> DataFrame:
+    """The whole profile; fewer ``facets`` leave their columns out and save the work.
+
+    ``totals`` are the ``user_dimension_totals`` of ``df`` if they are at hand.
+    """
+    if totals is None:
+        totals = user_dimension_totals(df, facets, params)
+    joined = attach(user_totals(df, params), user_facets(totals, facets), ["cc_num"])
     return fill_deviations(joined).select(*(c for c in PROFILE_COLUMNS if c in joined.columns))
 
 

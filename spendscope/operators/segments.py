@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendscope.functions import mean, percent
+from spendscope.operators.usertotals import user_dimension_totals
 from spendscope.params import Params
 
 DIMENSIONS = ("category", "hour", "state", "amount_bin")
@@ -42,26 +43,16 @@ def segment_row_share(df: DataFrame, users: DataFrame) -> DataFrame:
 def compare_segments(
     df: DataFrame, users: DataFrame, dimensions: Sequence[str], params: Params = Params()
 ) -> DataFrame:
-    """Both segments side by side for each value of each dimension, in one pass.
+    """Both segments side by side for each value of each dimension, in one pass."""
+    return compare_totals(user_dimension_totals(df, dimensions, params), users)
 
-    Transactions are aggregated per user and value first. That table is joined with the user
-    set, so no raw row is shuffled for the join, a heavy user weighs one row per value, and
-    distinct users become a plain count. Values missing in a segment count 0 there.
+
+def compare_totals(totals: DataFrame, users: DataFrame) -> DataFrame:
+    """The comparison from ``user_dimension_totals``: no raw row is shuffled for the join.
+
+    Values missing in a segment count 0 there.
     """
-    amounts = F.sum("amt") if params.amount_decimals is None else F.sum(
-        F.col("amt").cast(f"decimal(18,{params.amount_decimals})")
-    )
-    per_user = (
-        df.select("cc_num", "trans_num", "amt", *(F.col(d).cast("string").alias(d) for d in dimensions))
-        .unpivot(["cc_num", "trans_num", "amt"], list(dimensions), "dimension", "value")
-        .groupBy("cc_num", "dimension", "value")
-        .agg(
-            F.count("trans_num").alias("n"),
-            amounts.alias("amount"),
-            F.count("amt").alias("amounts"),
-        )
-    )
-    marked = per_user.join(users.withColumn("interesting", F.lit(True)), "cc_num", "left")
+    marked = totals.join(users.withColumn("interesting", F.lit(True)), "cc_num", "left")
     interesting = F.coalesce(F.col("interesting"), F.lit(False))
 
     def side(inside: Column, suffix: str) -> list[Column]:
@@ -70,7 +61,7 @@ def compare_segments(
 
         average = F.try_divide(only("amount").cast("double"), only("amounts"))
         return [
-            F.coalesce(only("n"), F.lit(0)).cast("bigint").alias(f"count_{suffix}"),
+            F.coalesce(only("transactions"), F.lit(0)).cast("bigint").alias(f"count_{suffix}"),
             F.coalesce(average, F.lit(0.0)).alias(f"avg_{suffix}"),
             F.count_if(inside & F.col("cc_num").isNotNull()).alias(f"users_{suffix}"),
         ]
@@ -85,10 +76,13 @@ def compare_segments(
 
 def compare_by(df: DataFrame, users: DataFrame, dimension: str, params: Params = Params()) -> DataFrame:
     """The comparison along one dimension, most over-represented value first."""
-    compared = compare_segments(df, users, [dimension], params)
-    value = F.col("value").cast(df.schema[dimension].dataType).alias(dimension)
-    rest = [c for c in compared.columns if c not in ("dimension", "value")]
-    return compared.select(value, *rest).orderBy(F.desc("share_diff"), F.asc(dimension))
+    compared = compare_segments(df, users, [dimension], params).drop("dimension")
+    value = F.col("value").cast(df.schema[dimension].dataType)
+    return (
+        compared.withColumn("value", value)
+        .withColumnRenamed("value", dimension)
+        .orderBy(F.desc("share_diff"), F.asc(dimension))
+    )
 
 
 def compare_by_join(df: DataFrame, users: DataFrame, dimension: str, params: Params = Params()) -> DataFrame:

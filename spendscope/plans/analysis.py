@@ -6,12 +6,13 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendscope.operators.criteria import interesting_summary, interesting_users, user_flags
 from spendscope.operators.features import with_features
-from spendscope.operators.profiles import user_profiles
-from spendscope.operators.segments import DIMENSIONS, compare_segments, segment_row_share, split
-from spendscope.operators.stats import category_stats, hourly_stats, state_stats
+from spendscope.operators.profiles import FACETS, user_profiles
+from spendscope.operators.segments import DIMENSIONS, compare_totals, segment_row_share, split
+from spendscope.operators.usertotals import dimension_stats, user_dimension_totals
 from spendscope.params import Params
 from spendscope.session import stored
 from spendscope.sources.readers import read_csv, read_parquet
@@ -79,11 +80,12 @@ def analyse(
     cache_features: bool = False,
     partitions: int | None = None,
 ) -> Analysis:
-    """Build every result of the analysis.
+    """Build every result of the analysis from three passes over the rows.
 
-    Profiles and flags hold one row per user and several results read them. With ``store``
-    they are computed right here and written to the scratch folder, so nothing later repeats
-    their work and joins know their size; otherwise everything stays lazy.
+    The passes make the totals per user and value, the totals per user, and the gaps. All
+    other results, except the split rows themselves, come from those smaller tables. With
+    ``store`` they are computed right here and written to the scratch folder, so nothing
+    later repeats the work and joins know their sizes; otherwise everything stays lazy.
 
     Features are cheap to derive again from a columnar source. Caching them, and spreading
     the rows over ``partitions`` first, is for sources that are slow to read, such as CSV.
@@ -93,23 +95,22 @@ def analyse(
     if cache_features:
         tx = tx.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(tx)
-    profiles = user_profiles(tx, params)
-    if store:
-        profiles = stored(profiles, "profiles")
-    flags = user_flags(profiles, tx, params)
-    if store:
-        flags = stored(flags, "flags")
-    users = interesting_users(flags)
-    if store:
-        # Its own table, so that a join sees the size of the ids and not of all flags.
-        users = stored(users, "users")
-    interesting, normal = split(tx, users)
+    keep = stored if store else lambda frame, _: frame
     dimensions = [d for d in DIMENSIONS if d in tx.columns]
+    totals = keep(user_dimension_totals(tx, [*dict.fromkeys([*dimensions, *FACETS])], params), "totals")
+    profiles = keep(user_profiles(tx, params, totals=totals), "profiles")
+    flags = keep(user_flags(profiles, tx, params), "flags")
+    # The users are a table of their own, so that a join sees the size of the ids alone.
+    users = keep(interesting_users(flags), "users")
+    interesting, normal = split(tx, users)
+    by_hour = dimension_stats(totals, "hour", "transaction_count")
+    by_category = dimension_stats(totals, "category", "total_transactions")
+    by_state = dimension_stats(totals, "state", "transaction_count").drop("unique_users")
     return Analysis(
         transactions=tx,
-        category_stats=category_stats(tx, params),
-        hourly_stats=hourly_stats(tx, params),
-        state_stats=state_stats(tx, params),
+        category_stats=by_category.orderBy(F.desc("total_transactions"), F.asc("category")),
+        hourly_stats=by_hour.withColumn("hour", F.col("hour").cast("int")),
+        state_stats=by_state if "state" in dimensions else None,
         profiles=profiles,
         flags=flags,
         users=users,
@@ -117,6 +118,6 @@ def analyse(
         interesting=interesting,
         normal=normal,
         row_share=segment_row_share(tx, users),
-        comparison=compare_segments(tx, users, dimensions, params),
+        comparison=compare_totals(totals.where(F.col("dimension").isin(*dimensions)), users),
         _cached=cached,
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spendscope.operators import criteria, gaps, profiles, runmetrics, segments, stats
 from spendscope.operators.features import with_features
 from spendscope.operators.quantiles import exact_quantile
+from spendscope.operators.usertotals import user_dimension_totals
 from spendscope.params import Params
 from spendscope.schemas import TRANSACTIONS
 from spendscope.session import scratch_path, stored
@@ -230,7 +231,8 @@ def geo_mobile(spark, sf_dir):
 
 @query
 def diverse(spark, sf_dir):
-    return criteria.diverse(profiles.user_facets(_tx(spark, sf_dir), ("category",)), TUNED)
+    totals = user_dimension_totals(_tx(spark, sf_dir), ["category"], TUNED)
+    return criteria.diverse(profiles.user_facets(totals, ["category"]), TUNED)
 
 
 @query
