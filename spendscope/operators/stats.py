@@ -93,9 +93,9 @@ def table_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """Some ``n`` rows; which ones is up to the scan."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: str | None = None) -> DataFrame:
+    """The first ``n`` rows by ``order``; without it, which ones is up to the scan."""
+    return (df.orderBy(order) if order else df).limit(n)
 
 
 def column_profile(df: DataFrame) -> DataFrame:

@@ -185,17 +185,18 @@ MISSING = {
     "merchant": "count(*) FILTER (merchant = 'm_42')",
     "amt": "count(*) FILTER (amt = 10.0)",
 }
-TX_COLUMNS = (
-    "trans_num", "cc_num", "trans_date_trans_time", "category", "merchant", "amt", "lat", "long",
-    "merch_lat", "merch_long",
-)
+TX_COLUMNS = {
+    "trans_num": "bigint", "cc_num": "bigint", "trans_date_trans_time": "timestamp_ntz",
+    "category": "string", "merchant": "string", "amt": "double", "lat": "double", "long": "double",
+    "merch_lat": "double", "merch_long": "double",
+}
 
 
 def _column_rows(only_missing: bool) -> str:
     rows = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) AS row_count, "
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS row_count, "
         f"{MISSING.get(c, f'count(*) - count({c})')} AS missing FROM tx"
-        for c in TX_COLUMNS
+        for c, t in TX_COLUMNS.items()
     )
     if only_missing:
         return f"{BASE} SELECT column_name, missing FROM ({rows}) WHERE missing > 0"
@@ -248,6 +249,7 @@ def oracles() -> dict[str, str]:
             FROM tx""",
         "parquet_result_sink": f"{BASE} {CATEGORY}",
         "table_shape": f"{BASE} SELECT count(*) AS row_count, CAST(10 AS INTEGER) AS column_count FROM tx",
+        "preview_rows": f"{BASE} SELECT trans_num, {tx_columns} FROM tx ORDER BY trans_num LIMIT 5",
         "column_profile": _column_rows(only_missing=False),
         "missing_values": _column_rows(only_missing=True),
         "features": f"""{BASE} SELECT trans_num, cc_num, trans_date_trans_time, hour,

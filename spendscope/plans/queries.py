@@ -85,6 +85,11 @@ def table_shape(spark, sf_dir):
     return stats.table_shape(transactions(spark, sf_dir))
 
 
+@query
+def preview_rows(spark, sf_dir):
+    return stats.preview(transactions(spark, sf_dir), 5, "trans_num")
+
+
 def _with_gaps_in_columns(spark, sf_dir):
     return stats.null_out(
         transactions(spark, sf_dir), {"category": "cat_7", "merchant": "m_42", "amt": 10.0}
@@ -93,9 +98,7 @@ def _with_gaps_in_columns(spark, sf_dir):
 
 @query
 def column_profile(spark, sf_dir):
-    return stats.column_profile(_with_gaps_in_columns(spark, sf_dir)).select(
-        "column_name", "row_count", "missing"
-    )
+    return stats.column_profile(_with_gaps_in_columns(spark, sf_dir))
 
 
 @query

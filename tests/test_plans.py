@@ -104,3 +104,20 @@ def test_defaults_are_the_documented_ones():
     p = Params()
     assert (p.daily_rate, p.amount_quantile, p.distance_km, p.categories) == (120.0, 0.95, 150.0, 10)
     assert (p.gap_seconds, p.short_gaps) == (600, 5)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from spendscope.__main__ import main
+    from spendscope.sources.sinks import write_csv
+
+    write_csv(transactions(spark, SF_SMALL, with_state=True), str(tmp_path / "train.csv"))
+    main([
+        "--input", str(tmp_path / "absent.csv"), str(tmp_path / "train.csv"), "--output", str(tmp_path / "out"),
+        "--daily-rate", "2.7", "--distance-km", "153", "--categories", "25", "--gap-seconds", "3600",
+        "--short-gaps", "9", "--amount-decimals", "2", "--cache-features", "--partitions", "4",
+    ])
+    assert "interesting: 4 of 15" in capsys.readouterr().out
+    flags = spark.read.parquet(str(tmp_path / "out" / "flags"))
+    expected = criteria.flag_users(with_features(transactions(spark, SF_SMALL)), TUNED)
+    assert rows(flags.select(expected.columns)) == rows(expected)
+    assert spark.read.parquet(str(tmp_path / "out" / "state_stats")).count() > 0
