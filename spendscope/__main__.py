@@ -1,6 +1,6 @@
 """``spark-submit`` entry: read transactions, run the analysis, write its tables.
 
-    python -m spendscope --input hdfs:///data/train.csv /app/data/train.csv --output hdfs:///results
+    python -m spendscope --input hdfs:///data/transactions.csv /data/transactions.csv --output hdfs:///results
 """
 
 from __future__ import annotations

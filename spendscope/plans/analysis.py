@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import Literal
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -76,32 +77,42 @@ def load(spark: SparkSession, *paths: str) -> DataFrame:
 def analyse(
     df: DataFrame,
     params: Params = Params(),
-    store: bool = True,
+    keep: Literal["table", "memory", "nothing"] = "table",
     cache_features: bool = False,
     partitions: int | None = None,
 ) -> Analysis:
     """Build every result of the analysis from three passes over the rows.
 
     The passes make the totals per user and value, the totals per user, and the gaps. All
-    other results, except the split rows themselves, come from those smaller tables. With
-    ``store`` they are computed right here and written to the scratch folder, so nothing
-    later repeats the work and joins know their sizes; otherwise everything stays lazy.
+    other results, except the split rows themselves, come from those smaller tables.
+
+    With ``keep='table'`` they are computed right here and written to the scratch folder, so
+    nothing later repeats the work, joins know their sizes, and lost executors cost nothing.
+    ``'memory'`` caches them on first use instead; with ``'nothing'`` each result starts over.
 
     Features are cheap to derive again from a columnar source. Caching them, and spreading
     the rows over ``partitions`` first, is for sources that are slow to read, such as CSV.
     """
     cached: list[DataFrame] = []
+
+    def cache(frame: DataFrame) -> DataFrame:
+        cached.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
+        return frame
+
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        if keep == "table":
+            return stored(frame, name)
+        return cache(frame) if keep == "memory" else frame
+
     tx = with_features(df.repartition(partitions) if partitions else df, params)
     if cache_features:
-        tx = tx.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(tx)
-    keep = stored if store else lambda frame, _: frame
+        tx = cache(tx)
     dimensions = [d for d in DIMENSIONS if d in tx.columns]
-    totals = keep(user_dimension_totals(tx, [*dict.fromkeys([*dimensions, *FACETS])], params), "totals")
-    profiles = keep(user_profiles(tx, params, totals=totals), "profiles")
-    flags = keep(user_flags(profiles, tx, params), "flags")
+    totals = kept(user_dimension_totals(tx, [*dict.fromkeys([*dimensions, *FACETS])], params), "totals")
+    profiles = kept(user_profiles(tx, params, totals=totals), "profiles")
+    flags = kept(user_flags(profiles, tx, params), "flags")
     # The users are a table of their own, so that a join sees the size of the ids alone.
-    users = keep(interesting_users(flags), "users")
+    users = kept(interesting_users(flags), "users")
     interesting, normal = split(tx, users)
     by_hour = dimension_stats(totals, "hour", "transaction_count")
     by_category = dimension_stats(totals, "category", "total_transactions")

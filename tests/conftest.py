@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from spendscope.session import build_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
+SF_CHECK = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")

@@ -62,20 +62,21 @@ def test_comparison_joins_after_aggregating(spark, tx):
     assert "partial_count" in below_join
 
 
-def test_flags_match_lazy_and_stored(spark, tx):
-    stored = analyse(transactions(spark, SF_SMALL, with_state=True), TUNED)
-    lazy = analyse(transactions(spark, SF_SMALL, with_state=True), TUNED, store=False, cache_features=True, partitions=3)
-    with stored, lazy:
-        assert rows(stored.flags) == rows(lazy.flags) == rows(criteria.flag_users(tx, TUNED))
-        assert rows(stored.comparison) == rows(lazy.comparison)
-        assert {r["dimension"] for r in stored.comparison.collect()} == set(segments.DIMENSIONS)
-        assert lazy.transactions.is_cached
-    assert not lazy.transactions.is_cached
+def test_ways_of_keeping_agree(spark, tx):
+    rows_ = transactions(spark, SF_SMALL, with_state=True)
+    table_kept = analyse(rows_, TUNED)
+    memory_kept = analyse(rows_, TUNED, keep="memory", cache_features=True, partitions=3)
+    with table_kept, memory_kept:
+        assert rows(table_kept.flags) == rows(memory_kept.flags) == rows(criteria.flag_users(tx, TUNED))
+        assert rows(table_kept.comparison) == rows(memory_kept.comparison)
+        assert {r["dimension"] for r in table_kept.comparison.collect()} == set(segments.DIMENSIONS)
+        assert memory_kept.transactions.is_cached and memory_kept.profiles.is_cached
+    assert not memory_kept.transactions.is_cached and not memory_kept.profiles.is_cached
 
 
 def test_analysis_statistics_equal_the_direct_ones(spark):
     rows_ = transactions(spark, SF_SMALL, with_state=True)
-    done = analyse(rows_, TUNED, store=False)
+    done = analyse(rows_, TUNED, keep="nothing")
     direct = with_features(rows_, TUNED)
     for got, expected in (
         (done.category_stats, stats.category_stats(direct, TUNED)),
@@ -110,9 +111,9 @@ def test_command_line(spark, tmp_path, capsys):
     from spendscope.__main__ import main
     from spendscope.sources.sinks import write_csv
 
-    write_csv(transactions(spark, SF_SMALL, with_state=True), str(tmp_path / "train.csv"))
+    write_csv(transactions(spark, SF_SMALL, with_state=True), str(tmp_path / "transactions.csv"))
     main([
-        "--input", str(tmp_path / "absent.csv"), str(tmp_path / "train.csv"), "--output", str(tmp_path / "out"),
+        "--input", str(tmp_path / "absent.csv"), str(tmp_path / "transactions.csv"), "--output", str(tmp_path / "out"),
         "--daily-rate", "2.7", "--distance-km", "153", "--categories", "25", "--gap-seconds", "3600",
         "--short-gaps", "9", "--amount-decimals", "2", "--cache-features", "--partitions", "4",
     ])

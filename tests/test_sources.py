@@ -12,21 +12,21 @@ from spendscope.session import scratch_path, stored
 from spendscope.sources import readers, sinks
 
 HEADER = ",trans_date_trans_time,cc_num,merchant,category,amt,first,state,lat,long,merch_lat,merch_long,trans_num"
-LINE = '0,2019-01-01 00:00:18,2703186189652095,"fraud_Rippin, Kub",misc_net,4.97,Jen,NC,36.07,-81.17,36.01,-82.04,0b24'
+LINE = '0,2021-05-06 07:08:09,4000123412341234,"Baker, Sons",groceries,4.97,Kim,OR,44.05,-121.31,44.9,-122.04,a1b2'
 
 
 @pytest.fixture()
 def csv_file(tmp_path):
-    path = tmp_path / "train.csv"
+    path = tmp_path / "transactions.csv"
     path.write_text(f"{HEADER}\n{LINE}\n")
     return str(path)
 
 
 def test_csv_is_matched_by_header_names(spark, csv_file):
     row = readers.read_csv(spark, csv_file).first().asDict()
-    assert row["cc_num"] == 2703186189652095 and row["amt"] == 4.97
-    assert row["merchant"] == "fraud_Rippin, Kub" and row["first"] == "Jen"
-    assert row["trans_date_trans_time"] == datetime(2019, 1, 1, 0, 0, 18)
+    assert row["cc_num"] == 4000123412341234 and row["amt"] == 4.97
+    assert row["merchant"] == "Baker, Sons" and row["first"] == "Kim"
+    assert row["trans_date_trans_time"] == datetime(2021, 5, 6, 7, 8, 9)
     assert "job" not in row
 
 
@@ -40,7 +40,7 @@ def test_csv_bad_time(spark, tmp_path):
 
 def test_fallback(spark, csv_file):
     assert readers.read_csv(spark, "/nowhere/a.csv", "/nowhere/b.csv", csv_file).count() == 1
-    assert readers.read_csv_inferred(spark, "/nowhere/a.csv", csv_file).first()["cc_num"] == 2703186189652095
+    assert readers.read_csv_inferred(spark, "/nowhere/a.csv", csv_file).first()["cc_num"] == 4000123412341234
     with pytest.raises(AnalysisException):
         readers.read_csv(spark, "/nowhere/a.csv", "/nowhere/b.csv")
     with pytest.raises(AnalysisException):
