@@ -16,6 +16,7 @@ from spendscope.params import Params
 
 MICROS = 1_000_000
 CHUNK_SECONDS = 60
+HOT_ROWS = 1_000_000
 
 
 def _cell(t: Column, width: int) -> Column:
@@ -120,21 +121,42 @@ def previous_instants(df: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> Data
     )
 
 
-def with_gaps(df: DataFrame, params: Params = Params()) -> DataFrame:
+def hot_users(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Users with more than ``hot_rows`` rows; at most one per ``hot_rows`` rows of the table."""
+    counts = df.groupBy("cc_num").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > hot_rows).select("cc_num")
+
+
+def with_gaps(df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row with ``time_diff``, the time since the user's previous transaction.
 
     Rows are ordered by time and then ``trans_num``, which identifies a transaction. The
     first row of a user and rows without a time have NULL. Seconds are whole by default;
-    ``gap='exact'`` gives a fraction. Rows meet their instant in a plain equi-join, so an
-    instant holding a large share of the rows is split by adaptive execution.
+    ``gap='exact'`` gives a fraction.
+
+    Users of up to ``hot_rows`` rows are sorted whole, which takes one shuffle. The rows of
+    the few others meet their instant in an equi-join, so an instant that holds a large
+    share of the rows is split by adaptive execution. When nobody is hot that part is empty
+    and adaptive execution skips it.
     """
-    known = previous_instants(df)
-    joined = attach(df, known, ["cc_num", "trans_date_trans_time"])
-    ts, previous = F.col("trans_date_trans_time"), F.col("previous_time")
-    if params.gap == "exact":
-        gap, none = (epoch_micros(ts) - epoch_micros(previous)) / F.lit(float(MICROS)), F.lit(0.0)
-    else:
-        gap, none = epoch_seconds(ts) - epoch_seconds(previous), F.lit(0).cast("bigint")
+    ts, exact = F.col("trans_date_trans_time"), params.gap == "exact"
+
+    def since(previous: Column) -> Column:
+        if exact:
+            return (epoch_micros(ts) - epoch_micros(previous)) / F.lit(float(MICROS))
+        return epoch_seconds(ts) - epoch_seconds(previous)
+
+    # The list has a proven bound, so it may be broadcast; the rows are not shuffled for it.
+    hot = F.broadcast(hot_users(df, hot_rows).withColumn("is_hot", F.lit(True)))
+    marked = attach(df, hot, ["cc_num"])
+    calm = marked.where(F.col("is_hot").isNull()).drop("is_hot")
+    order = Window.partitionBy("cc_num").orderBy("trans_date_trans_time", "trans_num")
+    calm = calm.withColumn("time_diff", since(F.lag("trans_date_trans_time").over(order)))
+
+    busy = marked.where("is_hot").drop("is_hot")
+    joined = attach(busy, previous_instants(busy), ["cc_num", "trans_date_trans_time"])
     is_first = F.col("trans_num").eqNullSafe(F.col("first_num"))
-    time_diff = F.when(ts.isNull(), None).when(is_first, gap).otherwise(none)
-    return joined.withColumn("time_diff", time_diff).drop("first_num", "previous_time")
+    same_time = F.lit(0.0) if exact else F.lit(0).cast("bigint")
+    gap = F.when(ts.isNull(), None).when(is_first, since(F.col("previous_time"))).otherwise(same_time)
+    busy = joined.withColumn("time_diff", gap).drop("first_num", "previous_time")
+    return calm.unionByName(busy)

@@ -67,11 +67,19 @@ class Analysis:
                 write_parquet(frame, f"{path.rstrip('/')}/{name}")
 
 
-def load(spark: SparkSession, *paths: str) -> DataFrame:
-    """Transactions from the first path that exists; CSV by its ending, else Parquet."""
-    if all(p.endswith((".csv", ".csv.gz")) for p in paths):
-        return read_csv(spark, *paths)
-    return read_parquet(spark, *paths)
+def load(spark: SparkSession, *paths: str, landing: str | None = None) -> DataFrame:
+    """Transactions from the first path that exists; CSV by its ending, else Parquet.
+
+    CSV is parsed again by every pass. With ``landing`` it is written there as Parquet once,
+    so that later passes read only the columns they need.
+    """
+    if not all(p.endswith((".csv", ".csv.gz")) for p in paths):
+        return read_parquet(spark, *paths)
+    rows = read_csv(spark, *paths)
+    if landing is None:
+        return rows
+    write_parquet(rows, landing)
+    return read_parquet(spark, landing)
 
 
 def analyse(

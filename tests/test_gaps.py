@@ -7,6 +7,7 @@ from helpers import at, frame, rows
 
 from spendscope.operators.gaps import (
     burst_users,
+    hot_users,
     previous_instants,
     short_gap_counts,
     window_burst_users,
@@ -56,7 +57,8 @@ def test_short_gaps_against_brute_force(spark, mode, limit):
 
 
 @pytest.mark.parametrize("mode", ["seconds", "exact"])
-def test_row_gaps_against_brute_force(spark, mode):
+@pytest.mark.parametrize("hot_rows", [0, 300, 10**6])
+def test_row_gaps_against_brute_force(spark, mode, hot_rows):
     data = random_rows(3)
     expected = Counter()
     for seq in ordered(data).values():
@@ -66,7 +68,7 @@ def test_row_gaps_against_brute_force(spark, mode):
     for i, row in enumerate(data):
         if row["trans_date_trans_time"] is None:
             expected[(f"t{i:05d}", None)] += 1
-    got = with_gaps(frame(spark, data), Params(gap=mode)).select("trans_num", "time_diff")
+    got = with_gaps(frame(spark, data), Params(gap=mode), hot_rows).select("trans_num", "time_diff")
     assert Counter(map(tuple, got.collect())) == expected
 
 
@@ -93,6 +95,12 @@ def test_window_bursts_against_brute_force(spark, limit, m):
     assert {r["cc_num"] for r in got.collect()} == expected
 
 
+def test_hot_users_are_found(spark):
+    df = frame(spark, random_rows(2))
+    assert rows(hot_users(df, 300)) == [(0,)]
+    assert hot_users(df, 10**6).count() == 0
+
+
 def test_edges(spark):
     params = Params(short_gaps=1)
     for seconds, hit in ((599, True), (600, False), (601, False)):

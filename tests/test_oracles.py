@@ -28,6 +28,12 @@ def duck():
     con.close()
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return ("nan",) if math.isnan(value) else (repr(value),)
@@ -50,6 +56,7 @@ def test_query_matches_oracle(spark, duck, name):
     names = [c[0] for c in cursor.description]
     expected = cursor.fetchall()
     assert sorted(got.columns) == sorted(names)
+    assert {n: TYPES[t] for n, t in got.dtypes} == {c[0]: str(c[1]) for c in cursor.description}
     rows = [tuple(r) for r in got.collect()]
     assert len(rows) == len(expected)
     assert _sorted_rows(got.columns, rows) == _sorted_rows(names, expected)

@@ -11,6 +11,7 @@ from spendscope.operators.features import with_features
 from spendscope.params import Params
 from spendscope.plans import analyse, load
 from spendscope.plans.queries import REGISTRY, TUNED
+from spendscope.sources.sinks import write_csv
 from spendscope.sources.testdata import table, transactions
 
 
@@ -91,6 +92,20 @@ def test_analysis_statistics_equal_the_direct_ones(spark):
             assert rows(got.select(expected.columns)) == rows(expected)
 
 
+def test_analysis_of_nothing(spark):
+    for keep in ("table", "memory", "nothing"):
+        with analyse(transactions(spark, SF_SMALL, with_state=True).limit(0), TUNED, keep=keep) as done:
+            assert done.flags.count() == done.users.count() == done.comparison.count() == 0
+            assert tuple(done.row_share.first()) == (0, 0, 0.0)
+
+
+def test_landing(spark, tmp_path):
+    write_csv(transactions(spark, SF_SMALL), str(tmp_path / "rows.csv"))
+    landed = load(spark, str(tmp_path / "rows.csv"), landing=str(tmp_path / "landed"))
+    assert "FileScan parquet" in plan(landed)
+    assert rows(landed) == rows(load(spark, str(tmp_path / "rows.csv")))
+
+
 def test_analysis_is_written(spark, tmp_path):
     done = analyse(transactions(spark, SF_SMALL), TUNED)
     assert done.state_stats is None
@@ -109,8 +124,6 @@ def test_defaults_are_the_documented_ones():
 
 def test_command_line(spark, tmp_path, capsys):
     from spendscope.__main__ import main
-    from spendscope.sources.sinks import write_csv
-
     write_csv(transactions(spark, SF_SMALL, with_state=True), str(tmp_path / "transactions.csv"))
     main([
         "--input", str(tmp_path / "absent.csv"), str(tmp_path / "transactions.csv"), "--output", str(tmp_path / "out"),
