@@ -1,10 +1,10 @@
 """Exact quantiles that never gather a group in one task.
 
 The built-in exact percentile keeps every distinct value of a group in one buffer. Here the
-values are first counted, then the bracket around the wanted rank is narrowed by histograms
-of a fixed number of equal-width buckets. A histogram holds at most ``BUCKETS`` rows per
-group, whatever the data. Only the values left in the last bracket are ordered, and every
-step uses exact counts, so the answer is exact however the values are distributed.
+values are first counted. A histogram by order of magnitude then finds the bracket that holds
+the wanted rank, histograms of equal-width buckets narrow it, and only the values left in the
+last bracket are ordered. Every step uses exact counts, so the answer is exact however the
+values are distributed; a histogram is small whatever the number of values.
 """
 
 from __future__ import annotations
@@ -16,8 +16,14 @@ from pyspark.sql import functions as F
 
 from spendscope.operators.joins import attach
 
+# Buckets of the first histogram per factor e: each is 0.4 % wide relative to its value.
+# Doubles span about 1,450 such factors on either side of 0, amounts of money about 20.
+PER_FACTOR = 256
+ZERO_OFFSET = 1_000_000
 BUCKETS = 4096
-ROUNDS = 2
+ROUNDS = 1
+
+_RANKS = ("low_rank", "high_rank", "weight")
 
 
 def exact_quantile(
@@ -35,6 +41,7 @@ def exact_quantile(
     ``method='rank'`` takes the value at rank ceil(p * n); ``'interpolated'`` interpolates
     between the two values around position p * (n - 1). Without ``keys`` the result is one
     row, holding NULL when there are no values. Groups without values are absent.
+    ``rounds`` histograms of ``buckets`` equal-width buckets follow the first one.
     """
     keys = list(keys)
     v = F.col(value).cast("double")
@@ -44,73 +51,71 @@ def exact_quantile(
         .groupBy(*keys, "v")
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    bracket = _first_bracket(counted, p, keys, method)
+    histogram = _histogram(counted, keys, _magnitude(F.col("v")))
+    n = F.sum("w").over(Window.partitionBy(*keys))
+    bracket = _bracket(histogram.select("*", *_ranks(n, p, method)), keys, F.lit(0))
     for _ in range(rounds):
-        bracket = _narrow(_within(counted, bracket, keys), keys, buckets)
+        inside = _within(counted, bracket, keys)
+        histogram = _histogram(inside, [*keys, *_RANKS, "before"], _equal_width(buckets))
+        bracket = _bracket(histogram, keys, F.col("before"))
     return _pick(_within(counted, bracket, keys), keys, name)
 
 
-_BRACKET = ("low_rank", "high_rank", "weight", "before", "lo", "hi")
-
-
-def _first_bracket(counted: DataFrame, p: float, keys: list[str], method: str) -> DataFrame:
-    n = F.sum("w")
+def _ranks(n: Column, p: float, method: str) -> list[Column]:
     if method == "rank":
         low = high = F.greatest(F.ceil(F.lit(p) * n).cast("bigint"), F.lit(1).cast("bigint"))
         weight = F.lit(0.0)
     elif method == "interpolated":
         position = F.lit(p) * (n - 1)
-        low = F.floor(position).cast("bigint") + 1
-        high = F.ceil(position).cast("bigint") + 1
+        low, high = F.floor(position).cast("bigint") + 1, F.ceil(position).cast("bigint") + 1
         weight = position - F.floor(position)
     else:
         raise ValueError("method must be 'rank' or 'interpolated'")
-    return counted.groupBy(*keys).agg(
-        low.alias("low_rank"),
-        high.alias("high_rank"),
-        weight.alias("weight"),
-        F.lit(0).cast("bigint").alias("before"),
-        F.min("v").alias("lo"),
-        F.max("v").alias("hi"),
-    )
+    return [c.alias(a) for c, a in zip((low, high, weight), _RANKS)]
 
 
-def _within(counted: DataFrame, bracket: DataFrame, keys: list[str]) -> DataFrame:
-    # Without keys the bracket is one row, the result of a global aggregate.
-    both = attach(counted, bracket, keys, "inner") if keys else counted.crossJoin(F.broadcast(bracket))
-    return both.where(F.col("v").between(F.col("lo"), F.col("hi")))
+def _magnitude(v: Column) -> Column:
+    # The logarithm never decreases as its argument grows, so buckets never overlap.
+    step = F.floor(F.least(F.ln(F.abs(v)) * PER_FACTOR, F.lit(float(ZERO_OFFSET)))) + ZERO_OFFSET
+    return F.when(v == 0, 0).when(v > 0, step).otherwise(-step)
 
 
-def _bucket(buckets: int) -> Column:
-    # Subtraction, division and floor keep the order of the values, so buckets never overlap.
+def _equal_width(buckets: int) -> Column:
+    # Subtraction, division and floor keep the order of the values as well.
     x = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets
     inner = F.when(F.isnan(x), buckets - 1).otherwise(F.least(F.floor(x), F.lit(buckets - 1)))
     return F.when(F.col("lo") < F.col("hi"), inner).otherwise(0)
 
 
-def _narrow(inside: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    state = [*keys, "low_rank", "high_rank", "weight", "before"]
-    histogram = (
-        inside.withColumn("bucket", _bucket(buckets))
-        .groupBy(*state, "bucket")
-        .agg(F.sum("w").alias("w"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+def _histogram(counted: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    return counted.groupBy(*keys, bucket.alias("bucket")).agg(
+        F.sum("w").alias("w"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    upto = F.sum("w").over(Window.partitionBy(*keys).orderBy("bucket")) + F.col("before")
+
+
+def _bracket(histogram: DataFrame, keys: list[str], before: Column) -> DataFrame:
+    """The range of the buckets that hold the ranks, and the number of values below it."""
+    upto = F.sum("w").over(Window.partitionBy(*keys).orderBy("bucket")) + before
     return (
         histogram.withColumn("upto", upto)
-        .withColumn("below", F.col("upto") - F.col("w"))
-        .where((F.col("upto") >= F.col("low_rank")) & (F.col("below") < F.col("high_rank")))
+        .where(F.col("upto") >= F.col("low_rank"))
+        .where(F.col("upto") - F.col("w") < F.col("high_rank"))
         .groupBy(*keys)
         .agg(
-            *(F.first(c).alias(c) for c in ("low_rank", "high_rank", "weight")),
-            F.min("below").alias("before"),
+            *(F.first(c).alias(c) for c in _RANKS),
+            F.min(F.col("upto") - F.col("w")).alias("before"),
             F.min("lo").alias("lo"),
             F.max("hi").alias("hi"),
         )
-        .select(*keys, *_BRACKET)
     )
 
 
+def _within(counted: DataFrame, bracket: DataFrame, keys: list[str]) -> DataFrame:
+    # Without keys the bracket is one row, the result of a global aggregate.
+    both = attach(counted, bracket, keys, "inner") if keys else counted.crossJoin(F.broadcast(bracket))
+    return both.where(F.col("v").between(F.col("lo"), F.col("hi")))
+
+
 def _pick(inside: DataFrame, keys: list[str], name: str) -> DataFrame:
     upto = F.sum("w").over(Window.partitionBy(*keys).orderBy("v")) + F.col("before")
     low = F.min(F.when(F.col("upto") >= F.col("low_rank"), F.col("v")))
