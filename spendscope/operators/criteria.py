@@ -26,7 +26,7 @@ def amount_threshold(
 ) -> DataFrame:
     """One row: the quantile of the users' average amounts, or of all amounts in ``df``.
 
-    It stays in the plan instead of travelling through the driver; no values give NULL.
+    It stays in the plan, where the criteria read it as a scalar subquery; no values give NULL.
     """
     if params.amount_population == "transactions":
         if df is None:
@@ -36,12 +36,8 @@ def amount_threshold(
 
 
 def high_amount(profiles: DataFrame, df: DataFrame | None = None, params: Params = Params()) -> DataFrame:
-    threshold = amount_threshold(profiles, df, params)
-    return (
-        profiles.crossJoin(F.broadcast(threshold))
-        .where(F.col("avg_transaction") > F.col("threshold"))
-        .select("cc_num")
-    )
+    threshold = amount_threshold(profiles, df, params).scalar()
+    return profiles.where(F.col("avg_transaction") > threshold).select("cc_num")
 
 
 def geo_mobile(profiles: DataFrame, params: Params = Params()) -> DataFrame:
@@ -58,15 +54,11 @@ def bursts(df: DataFrame, params: Params = Params()) -> DataFrame:
 
 def user_flags(profiles: DataFrame, df: DataFrame, params: Params = Params()) -> DataFrame:
     """One row per user with a flag per criterion and ``interesting``, their OR."""
-    threshold = amount_threshold(profiles, df, params)
-    marked = attach(
-        profiles.crossJoin(F.broadcast(threshold)),
-        bursts(df, params).withColumn("burst", F.lit(True)),
-        ["cc_num"],
-    )
+    threshold = amount_threshold(profiles, df, params).scalar()
+    marked = attach(profiles, bursts(df, params).withColumn("burst", F.lit(True)), ["cc_num"])
     conditions = {
         "high_frequency": F.col("transactions_per_day") > params.daily_rate,
-        "high_amount": F.col("avg_transaction") > F.col("threshold"),
+        "high_amount": F.col("avg_transaction") > threshold,
         "geo_mobile": F.col("max_distance") > params.distance_km,
         "diverse": F.col("unique_categories") >= params.categories,
         "burst": F.col("burst"),

@@ -111,9 +111,11 @@ def _bracket(histogram: DataFrame, keys: list[str], before: Column) -> DataFrame
 
 
 def _within(counted: DataFrame, bracket: DataFrame, keys: list[str]) -> DataFrame:
-    # Without keys the bracket is one row, the result of a global aggregate.
-    both = attach(counted, bracket, keys, "inner") if keys else counted.crossJoin(F.broadcast(bracket))
-    return both.where(F.col("v").between(F.col("lo"), F.col("hi")))
+    inside = F.col("v").between(F.col("lo"), F.col("hi"))
+    if keys:
+        return attach(counted, bracket, keys, "inner").where(inside)
+    # The bracket is one row, the result of a global aggregate, and goes to every task.
+    return counted.join(F.broadcast(bracket), inside)
 
 
 def _pick(inside: DataFrame, keys: list[str], name: str) -> DataFrame:

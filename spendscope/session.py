@@ -20,6 +20,8 @@ def build_session(master: str | None = None, app: str = "spendscope", **conf: ob
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Recording the Python line of every column expression slows down building long plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
