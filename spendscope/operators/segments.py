@@ -85,8 +85,10 @@ def compare_by(df: DataFrame, users: DataFrame, dimension: str, params: Params =
     )
 
 
-def compare_by_join(df: DataFrame, users: DataFrame, dimension: str, params: Params = Params()) -> DataFrame:
-    """The same from two split tables and a full outer join; it reads the rows twice."""
+def compare_split(
+    normal: DataFrame, interesting: DataFrame, dimension: str, params: Params = Params()
+) -> DataFrame:
+    """The same from two tables of rows: one aggregate each and a full outer join."""
 
     def side(rows: DataFrame, suffix: str) -> DataFrame:
         return rows.groupBy(dimension).agg(
@@ -95,15 +97,13 @@ def compare_by_join(df: DataFrame, users: DataFrame, dimension: str, params: Par
             F.count_distinct("cc_num").alias(f"users_{suffix}"),
         )
 
-    normal = side(normal_transactions(df, users), "normal")
-    interesting = side(interesting_transactions(df, users), "interesting")
-    joined = normal.join(interesting, dimension, "full")
+    joined = side(normal, "normal").join(side(interesting, "interesting"), dimension, "full")
     filled = joined.na.fill(0, subset=[c for c in joined.columns if c != dimension])
     return _relate(filled, Window.partitionBy()).orderBy(F.desc("share_diff"), F.asc(dimension))
 
 
 def _relate(sides: DataFrame, whole: Window) -> DataFrame:
-    # One row per value of a dimension is left here, so this window is small.
+    # One row per value of a dimension is left here, and dimensions have few values.
     def share(suffix: str) -> Column:
         return F.try_divide(F.col(f"count_{suffix}"), F.sum(f"count_{suffix}").over(whole))
 

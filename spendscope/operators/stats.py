@@ -68,6 +68,13 @@ def state_stats(df: DataFrame, params: Params = Params()) -> DataFrame | None:
     )
 
 
+def basic_stats(
+    df: DataFrame, params: Params = Params()
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Extended category statistics, hourly statistics, and state statistics if there are states."""
+    return category_stats_extended(df, params), hourly_stats(df, params), state_stats(df, params)
+
+
 def amount_bin_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("amount_bin").agg(F.count(F.lit(1)).alias("transactions"))
 

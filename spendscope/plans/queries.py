@@ -396,8 +396,8 @@ def compare_all_dimensions(spark, sf_dir):
 
 @query
 def compare_category_by_join(spark, sf_dir):
-    tx = _tx(spark, sf_dir)
-    return segments.compare_by_join(tx, _users(spark, sf_dir), "category", TUNED)
+    interesting, normal = segments.split(_tx(spark, sf_dir), _users(spark, sf_dir))
+    return segments.compare_split(normal, interesting, "category", TUNED)
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendscope.operators.features import with_features
 from spendscope.operators.stats import (
+    basic_stats,
     busiest_hour,
     category_stats,
     category_stats_extended,
@@ -87,6 +88,7 @@ def test_statistics_on_small_rows(spark):
     assert tuple(by_key(hourly_stats(df), "hour")[1]) == (1, 1, 6.0, 1)
     assert tuple(by_key(state_stats(df), "state")["X"]) == ("X", 2, 1.5)
     assert state_stats(df.drop("state")) is None
+    assert [s is None for s in basic_stats(df.drop("state"))] == [False, False, True]
     assert tuple(busiest_hour(hourly_stats(df)).first()) == (0, 2)
     assert tuple(table_shape(df.select("cc_num", "amt")).first()) == (4, 2)
     assert preview(df, 2).count() == 2

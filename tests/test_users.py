@@ -26,8 +26,8 @@ from spendscope.operators.profiles import (
 )
 from spendscope.operators.segments import (
     compare_by,
-    compare_by_join,
     compare_segments,
+    compare_split,
     over_represented,
     segment_row_share,
     split,
@@ -192,7 +192,8 @@ def test_comparison_forms_agree(tx, flags, dimension):
     users = interesting_users(flags)
     known = tx.where(F.col(dimension).isNotNull())
     one = compare_by(known, users, dimension, TUNED)
-    other = compare_by_join(known, users, dimension, TUNED)
+    interesting, normal = split(known, users)
+    other = compare_split(normal, interesting, dimension, TUNED)
     assert sorted(one.columns) == sorted(other.columns)
     assert rows(one.select(sorted(one.columns))) == rows(other.select(sorted(one.columns)))
 
