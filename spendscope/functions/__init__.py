@@ -1,4 +1,5 @@
 from spendscope.functions.expressions import (
+    MICROS,
     amount_bin,
     day_of_week,
     epoch_micros,
@@ -6,6 +7,7 @@ from spendscope.functions.expressions import (
     exact_amount,
     exact_span_days,
     guarded_rate,
+    is_local,
     is_weekend,
     mean,
     percent,
@@ -16,6 +18,7 @@ from spendscope.functions.expressions import (
 )
 
 __all__ = [
+    "MICROS",
     "amount_bin",
     "day_of_week",
     "epoch_micros",
@@ -23,6 +26,7 @@ __all__ = [
     "exact_amount",
     "exact_span_days",
     "guarded_rate",
+    "is_local",
     "is_weekend",
     "mean",
     "percent",

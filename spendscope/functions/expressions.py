@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Upper edges (inclusive) and labels of the amount bins.
 AMOUNT_EDGES = ((10, "tiny"), (50, "small"), (100, "medium"), (500, "large"))
@@ -13,7 +14,7 @@ AMOUNT_TOP = "huge"
 KM_PER_DEGREE = 111
 WEEKEND_DAYS = (1, 7)
 
-MICROS_PER_DAY = 86_400_000_000
+MICROS = 1_000_000
 
 
 def day_of_week(ts: Column) -> Column:
@@ -43,12 +44,25 @@ def planar_km(lat: Column, long: Column, other_lat: Column, other_long: Column)
     return F.sqrt(dy * dy + dx * dx) * KM_PER_DEGREE
 
 
-def epoch_seconds(ts: Column) -> Column:
-    return F.unix_seconds(ts.cast("timestamp"))
+def is_local(df: DataFrame, name: str) -> bool:
+    """Whether a time column carries no zone."""
+    return isinstance(df.schema[name].dataType, T.TimestampNTZType)
 
 
-def epoch_micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+def epoch_seconds(ts: Column, local: bool) -> Column:
+    """Whole seconds since 1970. A local time is counted as it reads, so that differences do
+    not depend on the session's zone and its clock changes."""
+    if not local:
+        return F.unix_seconds(ts)
+    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_date(ts.cast("date")).cast("bigint") * 86_400 + clock
+
+
+def epoch_micros(ts: Column, local: bool) -> Column:
+    if not local:
+        return F.unix_micros(ts)
+    second = F.extract(F.lit("SECOND"), ts)
+    return epoch_seconds(ts, local) * MICROS + ((second - F.floor(second)) * MICROS).cast("bigint")
 
 
 def whole_span_days(first: Column, last: Column) -> Column:
@@ -56,8 +70,8 @@ def whole_span_days(first: Column, last: Column) -> Column:
     return F.datediff(last, first)
 
 
-def exact_span_days(first: Column, last: Column) -> Column:
-    return (epoch_micros(last) - epoch_micros(first)) / F.lit(float(MICROS_PER_DAY))
+def exact_span_days(first: Column, last: Column, local: bool) -> Column:
+    return (epoch_micros(last, local) - epoch_micros(first, local)) / F.lit(float(86_400 * MICROS))
 
 
 def guarded_rate(count: Column, span: Column) -> Column:

@@ -1,8 +1,8 @@
 """Time between a user's successive transactions.
 
-Nothing here sorts a user's rows as one group. Times are grouped into cells or chunks first,
-with partial aggregation on the map side, so the size of any sort is set by the time range
-covered and not by how many rows a user has.
+No sort grows with the rows of a heavy user. Times are grouped into cells or chunks first,
+with partial aggregation on the map side, so the size of a sort is set by the time range
+covered; only users known to have few rows are sorted row by row.
 """
 
 from __future__ import annotations
@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendscope.functions import epoch_micros, epoch_seconds
+from spendscope.functions import MICROS, epoch_micros, epoch_seconds, is_local
 from spendscope.operators.joins import attach
 from spendscope.params import Params
 
-MICROS = 1_000_000
+TIME = "trans_date_trans_time"
 CHUNK_SECONDS = 60
 HOT_ROWS = 1_000_000
 
@@ -32,10 +32,10 @@ def short_gap_counts(df: DataFrame, params: Params = Params()) -> DataFrame:
     """
     exact = params.gap == "exact"
     limit = params.gap_seconds * (MICROS if exact else 1)
-    ts = F.col("trans_date_trans_time")
+    ts, local = F.col(TIME), is_local(df, TIME)
     cells = (
         df.where(ts.isNotNull())
-        .select("cc_num", (epoch_micros(ts) if exact else epoch_seconds(ts)).alias("t"))
+        .select("cc_num", (epoch_micros(ts, local) if exact else epoch_seconds(ts, local)).alias("t"))
         .groupBy("cc_num", _cell(F.col("t"), limit).alias("cell"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
     )
@@ -60,10 +60,10 @@ def window_burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
     only looked at in adjacent cells that hold enough rows together.
     """
     m, limit = params.window_transactions, params.gap_seconds * MICROS
-    ts = F.col("trans_date_trans_time")
+    ts, local = F.col(TIME), is_local(df, TIME)
     times = (
         df.where(ts.isNotNull())
-        .select("cc_num", epoch_micros(ts).alias("t"))
+        .select("cc_num", epoch_micros(ts, local).alias("t"))
         .withColumn("cell", _cell(F.col("t"), limit))
     )
     cells = times.groupBy("cc_num", "cell").agg(F.count(F.lit(1)).alias("n"))
@@ -90,32 +90,32 @@ def previous_instants(df: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> Data
     Times are ordered within chunks; a chunk's first time takes the last one of the user's
     previous chunk, found on a table of one row per user and chunk.
     """
-    ts = F.col("trans_date_trans_time")
+    ts, local = F.col(TIME), is_local(df, TIME)
     instants = (
         df.where(ts.isNotNull())
-        .groupBy("cc_num", "trans_date_trans_time")
+        .groupBy("cc_num", TIME)
         .agg(F.min("trans_num").alias("first_num"))
-        .withColumn("chunk", _cell(epoch_seconds(ts), chunk_seconds))
+        .withColumn("chunk", _cell(epoch_seconds(ts, local), chunk_seconds))
     )
     # The summary reads only two columns and is combined on the map side.
     chunk_ends = (
         df.where(ts.isNotNull())
-        .groupBy("cc_num", _cell(epoch_seconds(ts), chunk_seconds).alias("chunk"))
-        .agg(F.max("trans_date_trans_time").alias("end"))
+        .groupBy("cc_num", _cell(epoch_seconds(ts, local), chunk_seconds).alias("chunk"))
+        .agg(F.max(TIME).alias("end"))
         .select(
             "cc_num",
             "chunk",
             F.lag("end").over(Window.partitionBy("cc_num").orderBy("chunk")).alias("before_chunk"),
         )
     )
-    within = F.lag("trans_date_trans_time").over(
-        Window.partitionBy("cc_num", "chunk").orderBy("trans_date_trans_time")
+    within = F.lag(TIME).over(
+        Window.partitionBy("cc_num", "chunk").orderBy(TIME)
     )
     return attach(
         instants.withColumn("within", within), chunk_ends, ["cc_num", "chunk"]
     ).select(
         "cc_num",
-        "trans_date_trans_time",
+        TIME,
         "first_num",
         F.coalesce("within", "before_chunk").alias("previous_time"),
     )
@@ -139,22 +139,22 @@ def with_gaps(df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS
     share of the rows is split by adaptive execution. When nobody is hot that part is empty
     and adaptive execution skips it.
     """
-    ts, exact = F.col("trans_date_trans_time"), params.gap == "exact"
+    ts, local, exact = F.col(TIME), is_local(df, TIME), params.gap == "exact"
 
     def since(previous: Column) -> Column:
         if exact:
-            return (epoch_micros(ts) - epoch_micros(previous)) / F.lit(float(MICROS))
-        return epoch_seconds(ts) - epoch_seconds(previous)
+            return (epoch_micros(ts, local) - epoch_micros(previous, local)) / F.lit(float(MICROS))
+        return epoch_seconds(ts, local) - epoch_seconds(previous, local)
 
     # The list has a proven bound, so it may be broadcast; the rows are not shuffled for it.
     hot = F.broadcast(hot_users(df, hot_rows).withColumn("is_hot", F.lit(True)))
     marked = attach(df, hot, ["cc_num"])
     calm = marked.where(F.col("is_hot").isNull()).drop("is_hot")
-    order = Window.partitionBy("cc_num").orderBy("trans_date_trans_time", "trans_num")
-    calm = calm.withColumn("time_diff", since(F.lag("trans_date_trans_time").over(order)))
+    order = Window.partitionBy("cc_num").orderBy(TIME, "trans_num")
+    calm = calm.withColumn("time_diff", since(F.lag(TIME).over(order)))
 
     busy = marked.where("is_hot").drop("is_hot")
-    joined = attach(busy, previous_instants(busy), ["cc_num", "trans_date_trans_time"])
+    joined = attach(busy, previous_instants(busy), ["cc_num", TIME])
     is_first = F.col("trans_num").eqNullSafe(F.col("first_num"))
     same_time = F.lit(0.0) if exact else F.lit(0).cast("bigint")
     gap = F.when(ts.isNull(), None).when(is_first, since(F.col("previous_time"))).otherwise(same_time)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendscope.functions import exact_span_days, guarded_rate, mean, total, whole_span_days
+from spendscope.functions import exact_span_days, guarded_rate, is_local, mean, total, whole_span_days
 from spendscope.operators.joins import attach
 from spendscope.operators.usertotals import user_dimension_totals
 from spendscope.params import Params
@@ -42,7 +42,10 @@ PROFILE_COLUMNS = (
 def user_totals(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Counts, amounts, activity span and rate per user: one shuffle, combined on the map side."""
     first, last = F.col("first_transaction"), F.col("last_transaction")
-    span = whole_span_days if params.span == "days" else exact_span_days
+    if params.span == "days":
+        span = whole_span_days(first, last)
+    else:
+        span = exact_span_days(first, last, is_local(df, "trans_date_trans_time"))
     return (
         df.groupBy("cc_num")
         .agg(
@@ -56,7 +59,7 @@ def user_totals(df: DataFrame, params: Params = Params()) -> DataFrame:
             F.max("geo_distance_km").alias("max_distance"),
             F.stddev_samp("geo_distance_km").alias("std_distance"),
         )
-        .withColumn("activity_span_days", span(first, last))
+        .withColumn("activity_span_days", span)
         .withColumns(
             {
                 "transactions_per_day": guarded_rate(

@@ -1,9 +1,11 @@
 import random
 from collections import Counter
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from helpers import at, frame, rows
+from pyspark.sql import functions as F
 
 from spendscope.operators.gaps import (
     burst_users,
@@ -112,11 +114,34 @@ def test_edges(spark):
     assert burst_users(df, replace(params, gap="exact")).count() == 1
 
 
+@pytest.fixture()
+def new_york(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield spark
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_local_times_ignore_clock_changes(new_york):
+    # Clocks went from 2:00 to 3:00 that night; times without a zone are two seconds and an hour apart.
+    times = [datetime(2024, 3, 10, 1, 59, 59, 500000), datetime(2024, 3, 10, 3, 0, 1, 500000)]
+    df = frame(new_york, [{"cc_num": 1, "trans_date_trans_time": t} for t in times])
+    assert rows(short_gap_counts(df)) == [(1, 0)]
+    assert {r["time_diff"] for r in with_gaps(df, Params(gap="exact")).collect()} == {None, 3602.0}
+    zoned = df.withColumn("trans_date_trans_time", F.col("trans_date_trans_time").cast("timestamp"))
+    assert rows(short_gap_counts(zoned)) == [(1, 1)]
+    assert {r["time_diff"] for r in with_gaps(zoned, hot_rows=0).collect()} == {None, 2}
+
+
 def test_before_1970(spark):
     df = frame(spark, [{"cc_num": 1, "trans_date_trans_time": at(-2_000_000_000 + s)} for s in (0, 10, 900)])
     assert rows(short_gap_counts(df)) == [(1, 1)]
     zero = frame(spark, [{"cc_num": 1, "trans_date_trans_time": at(s - 1704067200)} for s in (-599, 599)])
     assert rows(short_gap_counts(zero)) == [(1, 0)]
+    close = frame(spark, [{"cc_num": 1, "trans_date_trans_time": at(s - 1704067200)} for s in (-0.1, 0.1)])
+    for hot_rows in (0, 10):
+        found = with_gaps(close, Params(gap="exact"), hot_rows).collect()
+        assert {r["time_diff"] for r in found} == {None, 0.2}
 
 
 def test_bad_parameters():
