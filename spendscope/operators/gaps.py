@@ -1,8 +1,8 @@
 """Time between a user's successive transactions.
 
 No sort grows with the rows of a heavy user. Times are grouped into cells or chunks first,
-with partial aggregation on the map side, so the size of a sort is set by the time range
-covered; only users known to have few rows are sorted row by row.
+with partial aggregation on the map side, so the size of a sort, where there is one, is set
+by the time range covered; only users known to have few rows are sorted row by row.
 """
 
 from __future__ import annotations
@@ -24,26 +24,38 @@ def _cell(t: Column, width: int) -> Column:
 
 
 def short_gap_counts(df: DataFrame, params: Params = Params()) -> DataFrame:
-    """How many gaps below ``gap_seconds`` each user has.
+    """How many gaps below ``gap_seconds`` the users have; users without any are absent.
 
-    Two times in one cell as wide as the limit are always closer than the limit. So a cell
-    of n rows holds n - 1 short gaps, and only its border with the previous cell has to be
-    looked at. A user has at most one cell per ``gap_seconds`` of the time covered.
+    Times fall into cells as wide as the limit. All gaps within a cell are short, so a cell
+    of n rows holds n - 1 of them. A gap across a border can only be short between adjacent
+    cells, where it is the first time of one less the last time of the other. So each row
+    counts in its own cell and shows its time to the next one, and grouping by cell is all
+    it takes: nothing is sorted, and no task sees more of a user than some of the cells.
     """
     exact = params.gap == "exact"
     limit = params.gap_seconds * (MICROS if exact else 1)
     ts, local = F.col(TIME), is_local(df, TIME)
+    own = F.col("side") == "own"
     cells = (
         df.where(ts.isNotNull())
         .select("cc_num", (epoch_micros(ts, local) if exact else epoch_seconds(ts, local)).alias("t"))
-        .groupBy("cc_num", _cell(F.col("t"), limit).alias("cell"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+        .withColumn("own", _cell(F.col("t"), limit))
+        .withColumn("next", F.col("own") + limit)
+        .unpivot(["cc_num", "t"], ["own", "next"], "side", "cell")
+        .groupBy("cc_num", "cell")
+        .agg(
+            F.count_if(own).alias("n"),
+            F.min(F.when(own, F.col("t"))).alias("first"),
+            F.max(F.when(~own, F.col("t"))).alias("last_before"),
+        )
     )
-    previous = F.lag("hi").over(Window.partitionBy("cc_num").orderBy("cell"))
+    across = F.coalesce((F.col("first") - F.col("last_before") < limit).cast("int"), F.lit(0))
     return (
-        cells.withColumn("border", (F.col("lo") - previous < limit).cast("int"))
+        cells.where(F.col("n") > 0)
+        .withColumn("short", F.col("n") - 1 + across)
+        .where(F.col("short") > 0)
         .groupBy("cc_num")
-        .agg((F.sum(F.col("n") - 1) + F.coalesce(F.sum("border"), F.lit(0))).alias("short_gaps"))
+        .agg(F.sum("short").alias("short_gaps"))
     )
 
 

@@ -307,7 +307,7 @@ def oracles() -> dict[str, str]:
         "tx_gaps": f"{WITH_GAPS} SELECT trans_num, cc_num, trans_date_trans_time, time_diff FROM gaps",
         "tx_gaps_exact": f"""{WITH_GAPS} SELECT trans_num, cc_num, trans_date_trans_time,
             micros / 1000000::DOUBLE AS time_diff FROM gaps""",
-        "short_gap_counts": f"{WITH_GAPS} SELECT cc_num, short_gaps FROM gap_users",
+        "short_gap_counts": f"{WITH_GAPS} SELECT cc_num, short_gaps FROM gap_users WHERE short_gaps > 0",
         "burst_users": f"{WITH_GAPS} SELECT cc_num FROM gap_users WHERE short_gaps >= 9",
         "burst_users_exact": f"{WITH_GAPS} SELECT cc_num FROM gap_users WHERE short_exact >= 9",
         "burst_users_window": f"{BASE}, {window_counts} SELECT DISTINCT cc_num FROM counts WHERE n >= 3",

@@ -55,7 +55,7 @@ def test_short_gaps_against_brute_force(spark, mode, limit):
     for user, seq in ordered(data).items():
         expected[user] = sum(gap(a[0], b[0], mode == "exact") < limit for a, b in zip(seq, seq[1:]))
     got = short_gap_counts(frame(spark, data), Params(gap=mode, gap_seconds=limit))
-    assert {r["cc_num"]: r["short_gaps"] for r in got.collect()} == expected
+    assert {r["cc_num"]: r["short_gaps"] for r in got.collect()} == {u: n for u, n in expected.items() if n}
 
 
 @pytest.mark.parametrize("mode", ["seconds", "exact"])
@@ -126,7 +126,7 @@ def test_local_times_ignore_clock_changes(new_york):
     # Clocks went from 2:00 to 3:00 that night; times without a zone are two seconds and an hour apart.
     times = [datetime(2024, 3, 10, 1, 59, 59, 500000), datetime(2024, 3, 10, 3, 0, 1, 500000)]
     df = frame(new_york, [{"cc_num": 1, "trans_date_trans_time": t} for t in times])
-    assert rows(short_gap_counts(df)) == [(1, 0)]
+    assert rows(short_gap_counts(df)) == []
     assert {r["time_diff"] for r in with_gaps(df, Params(gap="exact")).collect()} == {None, 3602.0}
     zoned = df.withColumn("trans_date_trans_time", F.col("trans_date_trans_time").cast("timestamp"))
     assert rows(short_gap_counts(zoned)) == [(1, 1)]
@@ -137,7 +137,7 @@ def test_before_1970(spark):
     df = frame(spark, [{"cc_num": 1, "trans_date_trans_time": at(-2_000_000_000 + s)} for s in (0, 10, 900)])
     assert rows(short_gap_counts(df)) == [(1, 1)]
     zero = frame(spark, [{"cc_num": 1, "trans_date_trans_time": at(s - 1704067200)} for s in (-599, 599)])
-    assert rows(short_gap_counts(zero)) == [(1, 0)]
+    assert rows(short_gap_counts(zero)) == []
     close = frame(spark, [{"cc_num": 1, "trans_date_trans_time": at(s - 1704067200)} for s in (-0.1, 0.1)])
     for hot_rows in (0, 10):
         found = with_gaps(close, Params(gap="exact"), hot_rows).collect()
