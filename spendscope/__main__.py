@@ -17,7 +17,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="spendscope")
     parser.add_argument("--input", nargs="+", required=True, help="paths; the first that exists is read")
     parser.add_argument("--output", required=True, help="folder for the result tables")
-    parser.add_argument("--landing", help="folder for CSV input converted to Parquet")
+    parser.add_argument("--landing", help="folder for the input as Parquet in the order of user and time")
     parser.add_argument("--master", help="only outside spark-submit")
     parser.add_argument("--daily-rate", type=float, default=defaults.daily_rate)
     parser.add_argument("--amount-quantile", type=float, default=defaults.amount_quantile)

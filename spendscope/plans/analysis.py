@@ -17,7 +17,7 @@ from spendscope.operators.usertotals import dimension_stats, user_dimension_tota
 from spendscope.params import Params
 from spendscope.session import stored
 from spendscope.sources.readers import read_csv, read_parquet
-from spendscope.sources.sinks import write_parquet
+from spendscope.sources.sinks import write_by_user, write_parquet
 
 
 @dataclass
@@ -70,15 +70,15 @@ class Analysis:
 def load(spark: SparkSession, *paths: str, landing: str | None = None) -> DataFrame:
     """Transactions from the first path that exists; CSV by its ending, else Parquet.
 
-    CSV is parsed again by every pass. With ``landing`` it is written there as Parquet once,
-    so that later passes read only the columns they need.
+    With ``landing`` they are first written there as Parquet in the order of user and time:
+    one shuffle of the rows, after which every pass reads only the columns it needs and
+    aggregates per user are combined before they are shuffled.
     """
-    if not all(p.endswith((".csv", ".csv.gz")) for p in paths):
-        return read_parquet(spark, *paths)
-    rows = read_csv(spark, *paths)
+    csv = all(p.endswith((".csv", ".csv.gz")) for p in paths)
+    rows = read_csv(spark, *paths) if csv else read_parquet(spark, *paths)
     if landing is None:
         return rows
-    write_parquet(rows, landing)
+    write_by_user(rows, landing)
     return read_parquet(spark, landing)
 
 

@@ -2,39 +2,46 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendscope.schemas import RUN_METRICS, TRANSACTIONS
 
+logger = logging.getLogger(__name__)
+
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
 def first_available(paths: tuple[str, ...], read: Callable[[str], DataFrame]) -> DataFrame:
-    """Read the first path that exists; a missing path raises while the plan is built."""
+    """Read the first path that can be opened.
+
+    A missing path or an unknown host raises while the plan is built, before any data is read;
+    errors in the data come later and are not hidden by another path.
+    """
     for path in paths[:-1]:
         try:
             return read(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        except (PySparkException, Py4JError) as error:
+            logger.warning("cannot open %s, trying the next path: %s", path, str(error).split("\n")[0])
     return read(paths[-1])
 
 
 def read_csv(
     spark: SparkSession, *paths: str, schema: T.StructType = TRANSACTIONS, lenient: bool = False
 ) -> DataFrame:
-    """Transactions from CSV with a header, from the first path that exists.
+    """Transactions from CSV with a header, from the first path that opens.
 
     Columns are matched by the header's names: known ones get their type, others stay text,
     and known ones that the file lacks are simply absent. Only the header is read up front.
     Times are read as text and then cast, which accepts any number of fraction digits; a bad
-    one raises, or becomes NULL with ``lenient``.
+    one raises, or becomes NULL with ``lenient``. A number that cannot be read is NULL.
     """
     types = {f.name: f.dataType for f in schema.fields}
     times = [n for n, t in types.items() if isinstance(t, (T.TimestampNTZType, T.TimestampType))]

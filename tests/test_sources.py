@@ -40,6 +40,7 @@ def test_csv_bad_time(spark, tmp_path):
 
 def test_fallback(spark, csv_file):
     assert readers.read_csv(spark, "/nowhere/a.csv", "/nowhere/b.csv", csv_file).count() == 1
+    assert readers.read_csv(spark, "hdfs://no-such-host:9000/a.csv", csv_file).count() == 1
     assert readers.read_csv_inferred(spark, "/nowhere/a.csv", csv_file).first()["cc_num"] == 4000123412341234
     with pytest.raises(AnalysisException):
         readers.read_csv(spark, "/nowhere/a.csv", "/nowhere/b.csv")
@@ -47,6 +48,17 @@ def test_fallback(spark, csv_file):
         readers.read_parquet(spark, "/nowhere/a", "/nowhere/b")
 
 
+def test_rows_by_user(spark, tmp_path):
+    data = [{"cc_num": i % 3, "trans_date_trans_time": at(1000 - i)} for i in range(300)]
+    df = frame(spark, data)
+    sinks.write_by_user(df, str(tmp_path / "out"))
+    back = readers.read_parquet(spark, str(tmp_path / "out"))
+    assert rows(back) == rows(df)
+    for part in (tmp_path / "out").glob("part-*"):
+        keys = [(r["cc_num"], r["trans_date_trans_time"]) for r in spark.read.parquet(str(part)).collect()]
+        assert keys == sorted(keys)
+
+
 def test_csv_round_trip(spark, tmp_path):
     df = frame(
         spark,
