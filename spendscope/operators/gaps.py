@@ -148,8 +148,9 @@ def with_gaps(df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS
 
     Users of up to ``hot_rows`` rows are sorted whole, which takes one shuffle. The rows of
     the few others meet their instant in an equi-join, so an instant that holds a large
-    share of the rows is split by adaptive execution. When nobody is hot that part is empty
-    and adaptive execution skips it.
+    share of the rows is split by adaptive execution; there, copies of the transaction that
+    is first at an instant all show its gap. When nobody is hot that part is empty and
+    adaptive execution skips it.
     """
     ts, local, exact = F.col(TIME), is_local(df, TIME), params.gap == "exact"
 
