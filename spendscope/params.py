@@ -20,7 +20,9 @@ class Params:
 
     ``amount_decimals`` states how many decimals the amounts carry. When set, sums and
     averages are computed exactly, so they do not depend on the order of addition, and a
-    NaN amount raises. When ``None`` amounts are summed as plain doubles.
+    NaN amount raises. When ``None`` amounts are summed as plain doubles, whose last digits
+    may differ from one evaluation to the next; keep the profiles, as ``analyse`` does,
+    before comparing averages with a threshold taken from them.
     """
 
     daily_rate: float = DEFAULT_DAILY_RATE
