@@ -64,21 +64,45 @@ def burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
     return short_gap_counts(df, params).where(F.col("short_gaps") >= params.short_gaps).select("cc_num")
 
 
-def window_burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
+def hot_users(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Users with more than ``hot_rows`` rows; at most one per ``hot_rows`` rows of the table."""
+    counts = df.groupBy("cc_num").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > hot_rows).select("cc_num")
+
+
+def split_hot(df: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The rows of users with few enough rows to be sorted whole, and the rows of the others.
+
+    The list of hot users has a proven bound, so it may be broadcast, and no row is shuffled
+    for it. When nobody is hot, adaptive execution skips the work on the second part.
+    """
+    hot = F.broadcast(hot_users(df, hot_rows).withColumn("is_hot", F.lit(True)))
+    marked = attach(df, hot, ["cc_num"])
+    return marked.where(F.col("is_hot").isNull()).drop("is_hot"), marked.where("is_hot").drop("is_hot")
+
+
+def window_burst_users(
+    df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Users with ``window_transactions`` or more within ``gap_seconds`` at some moment.
 
-    A cell as wide as the limit that holds that many rows settles its user at once. Any
-    other such moment spans two adjacent cells, each with fewer rows, so single times are
-    only looked at in adjacent cells that hold enough rows together.
+    That holds when the transaction m - 1 places back is no further than the limit. Users of
+    up to ``hot_rows`` rows are sorted whole. For the others, a cell as wide as the limit
+    that holds m rows settles its user at once. Any other such moment spans two adjacent
+    cells, each with fewer rows, so single times are only looked at in adjacent cells that
+    hold enough rows together.
     """
     m, limit = params.window_transactions, params.gap_seconds * MICROS
     ts, local = F.col(TIME), is_local(df, TIME)
-    times = (
-        df.where(ts.isNotNull())
-        .select("cc_num", epoch_micros(ts, local).alias("t"))
-        .withColumn("cell", _cell(F.col("t"), limit))
-    )
-    cells = times.groupBy("cc_num", "cell").agg(F.count(F.lit(1)).alias("n"))
+
+    def close(times: DataFrame) -> DataFrame:
+        back = F.lag("t", m - 1).over(Window.partitionBy("cc_num").orderBy("t"))
+        return times.withColumn("back", back).where(F.col("t") - F.col("back") <= limit).select("cc_num")
+
+    times = df.where(ts.isNotNull()).select("cc_num", epoch_micros(ts, local).alias("t"))
+    calm, busy = split_hot(times, hot_rows)
+    busy = busy.withColumn("cell", _cell(F.col("t"), limit))
+    cells = busy.groupBy("cc_num", "cell").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("cc_num").orderBy("cell")
     before = F.when(F.lag("cell").over(order) == F.col("cell") - limit, F.lag("n").over(order))
     after = F.when(F.lead("cell").over(order) == F.col("cell") + limit, F.lead("n").over(order))
@@ -87,13 +111,9 @@ def window_burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
         .where((F.col("n") < m) & (F.col("reach") >= m))
         .select("cc_num", "cell")
     )
-    back = F.lag("t", m - 1).over(Window.partitionBy("cc_num").orderBy("t"))
-    close = (
-        attach(times, pairs, ["cc_num", "cell"], "inner")
-        .withColumn("back", back)
-        .where(F.col("t") - F.col("back") <= limit)
-    )
-    return cells.where(F.col("n") >= m).select("cc_num").union(close.select("cc_num")).distinct()
+    full = cells.where(F.col("n") >= m).select("cc_num")
+    across = close(attach(busy, pairs, ["cc_num", "cell"], "inner"))
+    return close(calm).union(full).union(across).distinct()
 
 
 def previous_instants(df: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
@@ -133,12 +153,6 @@ def previous_instants(df: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> Data
     )
 
 
-def hot_users(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Users with more than ``hot_rows`` rows; at most one per ``hot_rows`` rows of the table."""
-    counts = df.groupBy("cc_num").agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > hot_rows).select("cc_num")
-
-
 def with_gaps(df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row with ``time_diff``, the time since the user's previous transaction.
 
@@ -149,8 +163,7 @@ def with_gaps(df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS
     Users of up to ``hot_rows`` rows are sorted whole, which takes one shuffle. The rows of
     the few others meet their instant in an equi-join, so an instant that holds a large
     share of the rows is split by adaptive execution; there, copies of the transaction that
-    is first at an instant all show its gap. When nobody is hot that part is empty and
-    adaptive execution skips it.
+    is first at an instant all show its gap.
     """
     ts, local, exact = F.col(TIME), is_local(df, TIME), params.gap == "exact"
 
@@ -159,14 +172,10 @@ def with_gaps(df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS
             return (epoch_micros(ts, local) - epoch_micros(previous, local)) / F.lit(float(MICROS))
         return epoch_seconds(ts, local) - epoch_seconds(previous, local)
 
-    # The list has a proven bound, so it may be broadcast; the rows are not shuffled for it.
-    hot = F.broadcast(hot_users(df, hot_rows).withColumn("is_hot", F.lit(True)))
-    marked = attach(df, hot, ["cc_num"])
-    calm = marked.where(F.col("is_hot").isNull()).drop("is_hot")
+    calm, busy = split_hot(df, hot_rows)
     order = Window.partitionBy("cc_num").orderBy(TIME, "trans_num")
     calm = calm.withColumn("time_diff", since(F.lag(TIME).over(order)))
 
-    busy = marked.where("is_hot").drop("is_hot")
     joined = attach(busy, previous_instants(busy), ["cc_num", TIME])
     is_first = F.col("trans_num").eqNullSafe(F.col("first_num"))
     same_time = F.lit(0.0) if exact else F.lit(0).cast("bigint")

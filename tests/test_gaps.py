@@ -86,14 +86,16 @@ def test_previous_instants_for_any_chunk(spark, chunk):
 
 
 @pytest.mark.parametrize("limit,m", [(1, 2), (60, 1), (60, 4), (600, 9), (3600, 30), (600, 451), (600, 600)])
-def test_window_bursts_against_brute_force(spark, limit, m):
+@pytest.mark.parametrize("hot_rows", [0, 300, 10**6])
+def test_window_bursts_against_brute_force(spark, limit, m, hot_rows):
     data = random_rows(limit + m)
     expected = set()
     for user, seq in ordered(data).items():
         times = [t for t, _ in seq]
         if any((times[i] - times[i - m + 1]).total_seconds() <= limit for i in range(m - 1, len(times))):
             expected.add(user)
-    got = window_burst_users(frame(spark, data), Params(gap_seconds=limit, window_transactions=m, burst="window"))
+    params = Params(gap_seconds=limit, window_transactions=m, burst="window")
+    got = window_burst_users(frame(spark, data), params, hot_rows)
     assert {r["cc_num"] for r in got.collect()} == expected
 
 
