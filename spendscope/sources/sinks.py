@@ -20,11 +20,13 @@ def write_by_user(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet in the order of user and time, split into files of about equal size.
 
     In such files a user's rows lie together, so aggregates per user shrink on the map side
-    to about one row per user before they are shuffled. The ranges include the time, so a
-    heavy user is split over many files instead of making one large.
+    to about one row per user before they are shuffled. The ranges include the time and a
+    row number, so that a heavy user, instant or group of copies is split over many files.
     """
     order = ("cc_num", "trans_date_trans_time")
-    write_parquet(df.repartitionByRange(*order).sortWithinPartitions(*order), path, mode)
+    numbered = df.withColumn("row_number", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(*order, "row_number").sortWithinPartitions(*order)
+    write_parquet(ranged.drop("row_number"), path, mode)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -59,6 +59,17 @@ def test_rows_by_user(spark, tmp_path):
         assert keys == sorted(keys)
 
 
+def test_copies_are_split_over_files(spark, tmp_path):
+    copies = spark.range(0, 20000, 1, 4).selectExpr("7L AS cc_num", "TIMESTAMP_NTZ'2024-01-01' AS trans_date_trans_time")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_by_user(copies, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [spark.read.parquet(str(f)).count() for f in (tmp_path / "out").glob("part-*")]
+    assert sum(sizes) == 20000 and max(sizes) < 10000
+
+
 def test_csv_round_trip(spark, tmp_path):
     df = frame(
         spark,
