@@ -8,13 +8,15 @@ import pytest
 from conftest import SF_CHECK
 
 import __spark_entry__ as entry_points
+from spendscope.plans.oracles import oracles
+from spendscope.plans.queries import REGISTRY
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = REGISTRY
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
