@@ -34,6 +34,6 @@ def components(links: DataFrame) -> DataFrame:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     place = levels[0]
     for moves in levels[1:]:
-        step = moves.withColumnsRenamed({"node": "to", "to": "next"})
+        step = moves.select(F.col("node").alias("to"), F.col("to").alias("next"))
         place = place.join(step, "to", "left").select("node", F.coalesce("next", "to").alias("to"))
     return place.withColumnRenamed("to", "component")

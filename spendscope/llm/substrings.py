@@ -293,9 +293,9 @@ def repeated_spans(
         .sortWithinPartitions("shard")
         .mapInArrow(_matcher(width), _FOUND)
     )
-    windows = fetched.where(F.col("pieces") > shard_pieces).mapInArrow(
-        _window_maker(width), "shard long, piece long, copies long, low int, window long"
-    )
+    # Dealt by piece, so that no task makes the windows of a whole shard.
+    large = fetched.where(F.col("pieces") > shard_pieces).repartition("shard", "piece")
+    windows = large.mapInArrow(_window_maker(width), "shard long, piece long, copies long, low int, window long")
     often = windows.groupBy("shard", "window").agg(F.sum("copies").alias("n")).where("n > 1").select("shard", "window")
     counted = windows.join(often, ["shard", "window"]).select("shard", "piece", "low", (F.col("low") + 1).alias("high"))
 
