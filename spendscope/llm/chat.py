@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendscope.llm.batches import in_small_batches
+
 #: Control strings that no text may show.
 CONTROL = ("<|", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
@@ -69,7 +71,7 @@ def events_of(rows: DataFrame, delta: int = DELTA) -> DataFrame:
     )
     opened = F.array(F.struct(F.lit(0).cast("long").alias("seq"), F.lit("open").alias("kind"), F.lit("").alias("text")))
     events = F.when(F.length(text) > 0, F.concat(opened, parts)).otherwise(opened)
-    numbered = rows.select(
+    numbered = in_small_batches(rows).select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.monotonically_increasing_id().alias("message"),

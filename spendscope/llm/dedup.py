@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendscope.llm.batches import in_small_batches
 from spendscope.llm.members import bitmap, marked
 from spendscope.session import stored
 
@@ -139,7 +140,7 @@ def suspect_hashes(
     """
     owners = owners or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = stored(
-        docs.select(F.monotonically_increasing_id().alias("number"), _sha(F.col(text)).alias("sha")).mapInArrow(
+        in_small_batches(docs).select(F.monotonically_increasing_id().alias("number"), _sha(F.col(text)).alias("sha")).mapInArrow(
             _sender(owners, fingerprint_bits, block_rows), _SENT
         ),
         "fingerprints",

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendscope.llm.batches import in_small_batches
 from spendscope.llm.graph import components
 from spendscope.llm.groups import sorted_groups
 from spendscope.llm.members import bitmap, marked
@@ -207,7 +208,7 @@ def _shingler(width: int):
 def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     source = F.substring(F.unhex(F.sha2(body, 256)), 1, 16)
-    return docs.select(
+    return in_small_batches(docs).select(
         F.monotonically_increasing_id().alias("number"), F.col(id).cast("long").alias("id"), source.alias("source"), body.alias("body")
     )
 

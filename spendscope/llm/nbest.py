@@ -30,11 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendscope.llm.words import BLOCK, PLAIN, U64, spans_hash
+from spendscope.llm.batches import in_small_batches
+from spendscope.llm.words import PLAIN, U64, spans_hash
 
 UNIT = 1_000_000
 #: Bytes of a unit up to which it is handled on arrays; longer ones are rare.
 SHORT = 64
+#: Bytes of texts that are segmented together.
+BLOCK = 1 << 22
 #: Units that a task remembers.
 REMEMBERED = 1 << 19
 _SLOTS = 1 << 22
@@ -260,7 +263,7 @@ class Segmenter:
         row = 0
         while row < len(texts):
             size, upto = 0, row
-            while upto < len(texts) and (size < 4 * BLOCK or upto == row):
+            while upto < len(texts) and (size < BLOCK or upto == row):
                 size += len(texts[upto]) + 1
                 upto += 1
             yield from self._block(texts[row:upto])
@@ -347,6 +350,6 @@ def n_best(docs: DataFrame, model: str, n: int = 3, id: str = "doc_id", text: st
     decode to) and, if asked for, ``ids``. NULL and empty texts have one segmentation without
     ids. The mark U+2581 counts as a space. ``model`` is a SentencePiece file on all machines.
     """
-    rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    rows = in_small_batches(docs).select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     schema = "id long, rank int, score double, n_ids long, ids_crc32 long, decoded_sha256 string" + ", ids array<int>" * with_ids
     return rows.mapInArrow(_runner(model, n, with_ids), schema)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendscope.llm.batches import in_small_batches
 from spendscope.llm.words import LOWER, PLAIN, Words, spans_hash, split_words
 from spendscope.session import stored
 
@@ -98,7 +99,7 @@ def _piece_maker(path: str, capacity: int, end_id: int, with_ids: bool):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)
         for batch in batches:
-            for words in split_words(batch.column("body"), PLAIN):
+            for words in split_words(batch.column("body"), PLAIN, 1 << 20):
                 ids, at = encoder.encode(words)
                 rows, starts, lengths, sums, totals, tokens = [], [], [], [], [], []
                 for i in range(len(words)):
@@ -135,7 +136,7 @@ def pieces(
     empty. ``tokenizer`` is the path of a tokenizers file on all machines.
     """
     schema = "number long, id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    rows = docs.select(
+    rows = in_small_batches(docs).select(
         F.monotonically_increasing_id().alias("number"),
         F.col(id).cast("long").alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("body"),

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendscope.llm.batches import in_small_batches
 from spendscope.llm.groups import sorted_groups
 from spendscope.llm.members import bitmap, marked
 from spendscope.llm.words import PLAIN, U64, Words, as_long, spans_hash, split_words, windows_hash
@@ -250,7 +251,7 @@ SOURCE = ("source", "source2")
 def _rows(docs: DataFrame, id: str, text: str, **more: Column) -> DataFrame:
     """Id, text and a 128-bit hash that names the text wherever it occurs."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(
+    return in_small_batches(docs).select(
         F.col(id).cast("long").alias("id"),
         F.xxhash64(body).alias("source"),
         F.xxhash64(F.lit(1), body).alias("source2"),

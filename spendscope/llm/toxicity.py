@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendscope.llm.batches import in_small_batches
 from spendscope.llm.words import LOWER_ALNUM, U64, Words, as_long, mix, split_words, windows_hash
 from spendscope.session import stored
 
@@ -151,7 +152,7 @@ def scored(docs: DataFrame, weights: DataFrame, doc: Column, text: str = "text")
     bias = rows.loc[rows["feature"] == -1, "weight"].sum() if len(rows) else -35.0
     rows = rows[rows["feature"] >= 0]
     score = _scorer(rows["feature"].to_numpy(np.int64), rows["weight"].to_numpy(float), float(bias))
-    out = docs.select(doc.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    out = in_small_batches(docs).select(doc.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     return out.mapInArrow(score, T.StructType([out.schema["doc"]]).add("score", "double"))
 
 
