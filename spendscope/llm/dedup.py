@@ -188,6 +188,8 @@ def exact_dedup(
         F.max_by("number", rank).alias("keep_number"),
         F.count(F.lit(1)).alias("group_size"),
     )
+    # As a table of its own it leaves the join free to split the rows of a large group.
+    groups = stored(groups, "groups")
     judged = held.join(groups, ["sha", "body"]).select(
         "doc", "id", "sha", "keep_id", "group_size", (F.col("number") == F.col("keep_number")).alias("kept")
     )

@@ -299,7 +299,8 @@ def near_groups(
     crowds = bands.groupBy("band").agg(
         F.min("node").alias("pivot"), F.count(F.lit(1)).alias("crowd"), F.sum("n").alias("weight")
     )
-    crowds = crowds.where("crowd > 1")
+    # Tables of their own leave joins free to split the rows of a large key.
+    crowds = stored(crowds.where("crowd > 1"), "crowds")
     seats = stored(bands.join(crowds, "band"), "seats")
     pairs = seats.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     pairs = stored(_estimated(pairs, nodes, threshold), "pairs")
@@ -312,7 +313,7 @@ def near_groups(
     torn = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     parts = F.greatest(F.ceil(F.col("crowd") / square), F.ceil(F.col("weight") / SQUARE_SHINGLES)).cast("int")
     open_seats = (
-        placed.join(torn.select("band"), "band", "left_semi")
+        placed.join(stored(torn.select("band"), "torn"), "band", "left_semi")
         .withColumn("parts", parts)
         .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -334,7 +335,7 @@ def near_groups(
     heads = members.groupBy("component").agg(
         F.min("id").alias("component_id"), F.min_by("number", F.coalesce("id", F.lit((1 << 63) - 1))).alias("head"), F.count(F.lit(1)).alias("group_size")
     )
-    grouped = members.join(heads, "component").select("number", "component_id", "head", "group_size")
+    grouped = members.join(stored(heads, "heads"), "component").select("number", "component_id", "head", "group_size")
     return rows.join(grouped, "number", "left").select(
         "number",
         "id",

@@ -274,7 +274,9 @@ def repeated_spans(
     distinct = pieces.groupBy("shard", "piece").agg(F.count(F.lit(1)).alias("copies"), *where)
     distinct = stored(distinct, "distinct_pieces")
     shards = distinct.groupBy("shard").agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("pieces")).where("all > 1")
-    known = stored(distinct.join(shards.select("shard", "pieces"), "shard"), "shards")
+    # Tables of their own leave joins free to split the rows of a large key.
+    shards = stored(shards.select("shard", "pieces"), "shards")
+    known = stored(distinct.join(shards, "shard"), "known")
 
     whole = known.where("copies > 1").select("shard", "piece", F.lit(0).alias("low"), F.col("n").alias("high"))
     mixed = known.where("pieces > 1")
@@ -298,7 +300,7 @@ def repeated_spans(
     large = fetched.where(F.col("pieces") > shard_pieces).repartition("shard", "piece")
     windows = large.mapInArrow(_window_maker(width), "shard long, piece long, copies long, low int, window long")
     often = windows.groupBy("shard", "window").agg(F.sum("copies").alias("n")).where("n > 1").select("shard", "window")
-    counted = windows.join(often, ["shard", "window"]).select("shard", "piece", "low", (F.col("low") + 1).alias("high"))
+    counted = windows.join(stored(often, "often"), ["shard", "window"]).select("shard", "piece", "low", (F.col("low") + 1).alias("high"))
 
     repeated = whole.union(found).union(counted)
     low, high = F.col("at") + F.col("low"), F.col("at") + F.col("high") + (width - 1)
