@@ -1,6 +1,8 @@
 """``spark-submit`` entry: read transactions, run the analysis, write its tables.
 
     python -m spendscope --input hdfs:///data/transactions.csv /data/transactions.csv --output hdfs:///results
+
+On a cluster, ``spark.checkpoint.dir`` must name a folder that all executors share.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--input", nargs="+", required=True, help="paths; the first that exists is read")
     parser.add_argument("--output", required=True, help="folder for the result tables")
     parser.add_argument("--landing", help="folder for the input as Parquet in the order of user and time")
+    parser.add_argument("--lenient", action="store_true", help="leave out lines that cannot be read instead of failing")
+    parser.add_argument("--shuffle-partitions", type=int, help="shuffle width: about one for every 200 MB")
     parser.add_argument("--master", help="only outside spark-submit")
     parser.add_argument("--daily-rate", type=float, default=defaults.daily_rate)
     parser.add_argument("--amount-quantile", type=float, default=defaults.amount_quantile)
@@ -41,8 +45,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     params = Params(**{name: getattr(args, name) for name in Params.__dataclass_fields__})
-    spark = build_session(args.master)
-    source = load(spark, *args.input, landing=args.landing)
+    spark = build_session(args.master, partitions=args.shuffle_partitions)
+    source = load(spark, *args.input, landing=args.landing, lenient=args.lenient)
     with analyse(
         source, params, cache_features=args.cache_features, partitions=args.partitions
     ) as analysis:

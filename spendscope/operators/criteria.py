@@ -13,6 +13,7 @@ from spendscope.operators.joins import attach
 from spendscope.operators.profiles import user_profiles
 from spendscope.operators.quantiles import exact_quantile
 from spendscope.params import Params
+from spendscope.session import stored
 
 CRITERIA = ("high_frequency", "high_amount", "geo_mobile", "diverse", "burst")
 
@@ -70,8 +71,16 @@ def user_flags(profiles: DataFrame, df: DataFrame, params: Params = Params()) ->
 
 
 def flag_users(df: DataFrame, params: Params = Params()) -> DataFrame:
-    """``user_flags`` straight from the transactions, computing only what the criteria read."""
-    return user_flags(user_profiles(df, params, facets=("category",)), df, params)
+    """``user_flags`` straight from the transactions, computing only what the criteria read.
+
+    Sums of plain doubles may differ from one evaluation to the next. Without
+    ``amount_decimals`` the profiles are therefore stored first, which runs a job, so that the
+    averages and the threshold taken from them are the same ones.
+    """
+    profiles = user_profiles(df, params, facets=("category",))
+    if params.amount_decimals is None:
+        profiles = stored(profiles, "profiles")
+    return user_flags(profiles, df, params)
 
 
 def interesting_users(flags: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Time between a user's successive transactions.
 
-No sort grows with the rows of a heavy user. Times are grouped into cells or chunks first,
-with partial aggregation on the map side, so the size of a sort, where there is one, is set
-by the time range covered; only users known to have few rows are sorted row by row.
+All users take the same way, however many rows they have. Rows are grouped into instants, cells
+or chunks first, with partial aggregation on the map side, so the size of a sort, where there
+is one, is set by the time range covered and not by a user's rows.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from spendscope.params import Params
 
 TIME = "trans_date_trans_time"
 CHUNK_SECONDS = 60
-HOT_ROWS = 1_000_000
 
 
 def _cell(t: Column, width: int) -> Column:
@@ -64,121 +63,89 @@ def burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
     return short_gap_counts(df, params).where(F.col("short_gaps") >= params.short_gaps).select("cc_num")
 
 
-def hot_users(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Users with more than ``hot_rows`` rows; at most one per ``hot_rows`` rows of the table."""
-    counts = df.groupBy("cc_num").agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > hot_rows).select("cc_num")
-
-
-def split_hot(df: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """The rows of users with few enough rows to be sorted whole, and the rows of the others.
-
-    The list of hot users has a proven bound, so it may be broadcast, and no row is shuffled
-    for it. When nobody is hot, adaptive execution skips the work on the second part.
-    """
-    hot = F.broadcast(hot_users(df, hot_rows).withColumn("is_hot", F.lit(True)))
-    marked = attach(df, hot, ["cc_num"])
-    return marked.where(F.col("is_hot").isNull()).drop("is_hot"), marked.where("is_hot").drop("is_hot")
-
-
-def window_burst_users(
-    df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def window_burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Users with ``window_transactions`` or more within ``gap_seconds`` at some moment.
 
-    That holds when the transaction m - 1 places back is no further than the limit. Users of
-    up to ``hot_rows`` rows are sorted whole. For the others, a cell as wide as the limit
-    that holds m rows settles its user at once. Any other such moment spans two adjacent
-    cells, each with fewer rows, so single times are only looked at in adjacent cells that
-    hold enough rows together.
+    A cell as wide as the limit that holds m rows settles its user at once. Any other such
+    moment spans two adjacent cells, each with fewer rows, so single times are only looked at
+    in adjacent cells that hold enough rows together: fewer than 2m rows, counted by instant.
+    Cells are compared by adding each one's count to the next one, without ordering them.
     """
     m, limit = params.window_transactions, params.gap_seconds * MICROS
     ts, local = F.col(TIME), is_local(df, TIME)
-
-    def close(times: DataFrame) -> DataFrame:
-        back = F.lag("t", m - 1).over(Window.partitionBy("cc_num").orderBy("t"))
-        return times.withColumn("back", back).where(F.col("t") - F.col("back") <= limit).select("cc_num")
-
-    times = df.where(ts.isNotNull()).select("cc_num", epoch_micros(ts, local).alias("t"))
-    calm, busy = split_hot(times, hot_rows)
-    busy = busy.withColumn("cell", _cell(F.col("t"), limit))
-    cells = busy.groupBy("cc_num", "cell").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("cc_num").orderBy("cell")
-    before = F.when(F.lag("cell").over(order) == F.col("cell") - limit, F.lag("n").over(order))
-    after = F.when(F.lead("cell").over(order) == F.col("cell") + limit, F.lead("n").over(order))
-    pairs = (
-        cells.withColumn("reach", F.col("n") + F.greatest(before, after))
-        .where((F.col("n") < m) & (F.col("reach") >= m))
-        .select("cc_num", "cell")
+    instants = (
+        df.where(ts.isNotNull())
+        .groupBy("cc_num", epoch_micros(ts, local).alias("t"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("cell", _cell(F.col("t"), limit))
     )
+    cells = instants.groupBy("cc_num", "cell").agg(F.sum("n").alias("n"))
     full = cells.where(F.col("n") >= m).select("cc_num")
-    across = close(attach(busy, pairs, ["cc_num", "cell"], "inner"))
-    return close(calm).union(full).union(across).distinct()
+    side = F.col("side") == "own"
+    pairs = (
+        cells.select("cc_num", "n", F.col("cell").alias("own"), (F.col("cell") + limit).alias("next"))
+        .unpivot(["cc_num", "n"], ["own", "next"], "side", "pair")
+        .groupBy("cc_num", "pair")
+        .agg(F.sum(F.when(side, F.col("n"))).alias("own"), F.sum(F.when(~side, F.col("n"))).alias("before"))
+        .where((F.col("own") < m) & (F.col("before") < m) & (F.col("own") + F.col("before") >= m))
+        .select("cc_num", "pair", F.explode(F.array(F.col("pair"), F.col("pair") - limit)).alias("cell"))
+    )
+    # An instant may belong to two pairs; a pair has an instant at most once.
+    near = pairs.withColumnsRenamed({"cc_num": "__cc_num", "cell": "__cell"})
+    times = instants.join(near, F.col("cc_num").eqNullSafe(F.col("__cc_num")) & (F.col("cell") == F.col("__cell")))
+    within = Window.partitionBy("cc_num", "pair").orderBy("t").rangeBetween(-limit, 0)
+    across = times.withColumn("close", F.sum("n").over(within)).where(F.col("close") >= m).select("cc_num")
+    return full.union(across).distinct()
 
 
-def previous_instants(df: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Per user and distinct time: the time before it and the first transaction at it.
+def first_transactions(df: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Per user and instant: the first transaction at it, and the user's instant before it.
 
-    Times are ordered within chunks; a chunk's first time takes the last one of the user's
-    previous chunk, found on a table of one row per user and chunk.
+    A NULL ``trans_num`` is first, then the smallest. Instants are ordered within chunks; a
+    chunk's first one takes the last one of the user's previous chunk, found on a table of one
+    row per user and chunk.
     """
     ts, local = F.col(TIME), is_local(df, TIME)
     instants = (
         df.where(ts.isNotNull())
         .groupBy("cc_num", TIME)
-        .agg(F.min("trans_num").alias("first_num"))
+        # A struct, so that NULL takes part.
+        .agg(F.min(F.struct("trans_num")).alias("first"))
         .withColumn("chunk", _cell(epoch_seconds(ts, local), chunk_seconds))
     )
-    # The summary reads only two columns and is combined on the map side.
-    chunk_ends = (
-        df.where(ts.isNotNull())
-        .groupBy("cc_num", _cell(epoch_seconds(ts, local), chunk_seconds).alias("chunk"))
-        .agg(F.max(TIME).alias("end"))
-        .select(
-            "cc_num",
-            "chunk",
-            F.lag("end").over(Window.partitionBy("cc_num").orderBy("chunk")).alias("before_chunk"),
-        )
-    )
-    within = F.lag(TIME).over(
-        Window.partitionBy("cc_num", "chunk").orderBy(TIME)
-    )
-    return attach(
-        instants.withColumn("within", within), chunk_ends, ["cc_num", "chunk"]
-    ).select(
-        "cc_num",
-        TIME,
-        "first_num",
-        F.coalesce("within", "before_chunk").alias("previous_time"),
+    # Using both columns lets this share the aggregate above instead of reading the rows again.
+    ends = instants.groupBy("cc_num", "chunk").agg(F.max(F.struct(TIME, "first"))[TIME].alias("end"))
+    before = ends.select(
+        "cc_num", "chunk", F.lag("end").over(Window.partitionBy("cc_num").orderBy("chunk")).alias("before_chunk")
     )
+    within = F.lag(TIME).over(Window.partitionBy("cc_num", "chunk").orderBy(TIME))
+    placed = attach(instants.withColumn("within", within), before, ["cc_num", "chunk"])
+    previous = F.coalesce("within", "before_chunk").alias("previous_time")
+    return placed.select("cc_num", TIME, F.col("first.trans_num").alias("trans_num"), previous)
 
 
-def with_gaps(df: DataFrame, params: Params = Params(), hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_gaps(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Every row with ``time_diff``, the time since the user's previous transaction.
 
-    Rows are ordered by time and then ``trans_num``, which identifies a transaction. The
-    first row of a user and rows without a time have NULL. Seconds are whole by default;
-    ``gap='exact'`` gives a fraction.
+    Rows are ordered by time, then ``trans_num`` (NULL first), so of several rows at one
+    instant exactly one shows the gap and the others 0; of copies of the first transaction it
+    is any one of them. The first row of a user and rows without a time have NULL. Seconds are
+    whole by default; ``gap='exact'`` gives a fraction.
 
-    Users of up to ``hot_rows`` rows are sorted whole, which takes one shuffle. The rows of
-    the few others meet their instant in an equi-join, so an instant that holds a large
-    share of the rows is split by adaptive execution; there, copies of the transaction that
-    is first at an instant all show its gap.
+    Rows meet their gap by user, time and transaction, so neither a heavy user, nor an instant,
+    nor missing times gather rows in one task; only copies of one transaction do.
     """
     ts, local, exact = F.col(TIME), is_local(df, TIME), params.gap == "exact"
+    key = ["cc_num", TIME, "trans_num"]
 
     def since(previous: Column) -> Column:
         if exact:
             return (epoch_micros(ts, local) - epoch_micros(previous, local)) / F.lit(float(MICROS))
         return epoch_seconds(ts, local) - epoch_seconds(previous, local)
 
-    calm, busy = split_hot(df, hot_rows)
-    order = Window.partitionBy("cc_num").orderBy(TIME, "trans_num")
-    calm = calm.withColumn("time_diff", since(F.lag(TIME).over(order)))
-
-    joined = attach(busy, previous_instants(busy), ["cc_num", TIME])
-    is_first = F.col("trans_num").eqNullSafe(F.col("first_num"))
+    first = first_transactions(df).withColumn("is_first", F.lit(True))
+    joined = attach(df, first, key).withColumn("copy", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
     same_time = F.lit(0.0) if exact else F.lit(0).cast("bigint")
-    gap = F.when(ts.isNull(), None).when(is_first, since(F.col("previous_time"))).otherwise(same_time)
-    busy = joined.withColumn("time_diff", gap).drop("first_num", "previous_time")
-    return calm.unionByName(busy)
+    shows = F.col("is_first") & (F.col("copy") == 1)
+    gap = F.when(ts.isNull(), None).when(shows, since(F.col("previous_time"))).otherwise(same_time)
+    return joined.withColumn("time_diff", gap).drop("previous_time", "is_first", "copy")

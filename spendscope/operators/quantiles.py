@@ -1,10 +1,11 @@
 """Exact quantiles that never gather a group in one task.
 
 The built-in exact percentile keeps every distinct value of a group in one buffer. Here the
-values are first counted. A histogram by order of magnitude then finds the bracket that holds
-the wanted rank, histograms of equal-width buckets narrow it, and only the values left in the
-last bracket are ordered. Every step uses exact counts, so the answer is exact however the
-values are distributed; a histogram is small whatever the number of values.
+values are first counted. A histogram by order of magnitude then finds the bucket that holds
+the wanted rank, and histograms of equal-width buckets narrow it. Every step uses exact counts
+and has a bounded number of buckets per group. The first bucket is at most 2**44 neighbouring
+doubles wide and each of the ``ROUNDS`` steps divides it by 2**16, so the last one holds a
+single value whatever the distribution: values themselves are never ordered.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from spendscope.operators.joins import attach
 # Doubles span about 1,450 such factors on either side of 0, amounts of money about 20.
 PER_FACTOR = 256
 ZERO_OFFSET = 1_000_000
-BUCKETS = 4096
-ROUNDS = 1
+BUCKETS = 1 << 16
+ROUNDS = 3
 
 _RANKS = ("low_rank", "high_rank", "weight")
 
@@ -33,32 +34,35 @@ def exact_quantile(
     keys: Sequence[str] = (),
     method: str = "rank",
     name: str = "threshold",
-    rounds: int = ROUNDS,
-    buckets: int = BUCKETS,
+    count: str | None = None,
 ) -> DataFrame:
     """One row per group with the ``p`` quantile of ``value``; NULL and NaN are skipped.
 
     ``method='rank'`` takes the value at rank ceil(p * n); ``'interpolated'`` interpolates
     between the two values around position p * (n - 1). Without ``keys`` the result is one
-    row, holding NULL when there are no values. Groups without values are absent.
-    ``rounds`` histograms of ``buckets`` equal-width buckets follow the first one.
+    row, holding NULL when there are no values. Groups without values are absent. ``count``
+    names a column that says how often a row counts.
     """
     keys = list(keys)
     v = F.col(value).cast("double")
+    weight = F.col(count) if count else F.lit(1)
     counted = (
-        df.select(*keys, v.alias("v"))
+        df.select(*keys, v.alias("v"), weight.alias("w"))
         .where(F.col("v").isNotNull() & ~F.isnan("v"))
         .groupBy(*keys, "v")
-        .agg(F.count(F.lit(1)).alias("w"))
+        .agg(F.sum("w").alias("w"))
     )
     histogram = _histogram(counted, keys, _magnitude(F.col("v")))
     n = F.sum("w").over(Window.partitionBy(*keys))
-    bracket = _bracket(histogram.select("*", *_ranks(n, p, method)), keys, F.lit(0))
-    for _ in range(rounds):
-        inside = _within(counted, bracket, keys)
-        histogram = _histogram(inside, [*keys, *_RANKS, "before"], _equal_width(buckets))
-        bracket = _bracket(histogram, keys, F.col("before"))
-    return _pick(_within(counted, bracket, keys), keys, name)
+    found = _bucket(histogram.select("*", *_ranks(n, p, method)), keys, F.lit(0))
+    for _ in range(ROUNDS):
+        histogram = _histogram(_within(counted, found, keys), [*keys, *_RANKS, "before"], _equal_width())
+        found = _bucket(histogram, keys, F.col("before"))
+    if method == "rank":
+        return found.select(*keys, F.col("lo").alias(name))
+    # The value at the higher rank is the same one, or the next larger one there is.
+    above = _beyond(counted, found, keys)
+    return above.select(*keys, _blend(F.col("lo"), F.coalesce("next", "lo")).alias(name))
 
 
 def _ranks(n: Column, p: float, method: str) -> list[Column]:
@@ -80,10 +84,10 @@ def _magnitude(v: Column) -> Column:
     return F.when(v == 0, 0).when(v > 0, step).otherwise(-step)
 
 
-def _equal_width(buckets: int) -> Column:
+def _equal_width() -> Column:
     # Subtraction, division and floor keep the order of the values as well.
-    x = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets
-    inner = F.when(F.isnan(x), buckets - 1).otherwise(F.least(F.floor(x), F.lit(buckets - 1)))
+    x = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BUCKETS
+    inner = F.when(F.isnan(x), BUCKETS - 1).otherwise(F.least(F.floor(x), F.lit(BUCKETS - 1)))
     return F.when(F.col("lo") < F.col("hi"), inner).otherwise(0)
 
 
@@ -93,36 +97,41 @@ def _histogram(counted: DataFrame, keys: list[str], bucket: Column) -> DataFrame
     )
 
 
-def _bracket(histogram: DataFrame, keys: list[str], before: Column) -> DataFrame:
-    """The range of the buckets that hold the ranks, and the number of values below it."""
+def _bucket(histogram: DataFrame, keys: list[str], before: Column) -> DataFrame:
+    """The bucket that holds the lower rank, and the number of values below and up to it."""
     upto = F.sum("w").over(Window.partitionBy(*keys).orderBy("bucket")) + before
     return (
         histogram.withColumn("upto", upto)
-        .where(F.col("upto") >= F.col("low_rank"))
-        .where(F.col("upto") - F.col("w") < F.col("high_rank"))
+        .withColumn("before", F.col("upto") - F.col("w"))
+        .where((F.col("upto") >= F.col("low_rank")) & (F.col("before") < F.col("low_rank")))
+        # One row is left; without keys and values, the aggregate still yields one.
         .groupBy(*keys)
-        .agg(
-            *(F.first(c).alias(c) for c in _RANKS),
-            F.min(F.col("upto") - F.col("w")).alias("before"),
-            F.min("lo").alias("lo"),
-            F.max("hi").alias("hi"),
-        )
+        .agg(*(F.first(c).alias(c) for c in (*_RANKS, "before", "upto", "lo", "hi")))
     )
 
 
-def _within(counted: DataFrame, bracket: DataFrame, keys: list[str]) -> DataFrame:
+def _within(counted: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     inside = F.col("v").between(F.col("lo"), F.col("hi"))
     if keys:
-        return attach(counted, bracket, keys, "inner").where(inside)
-    # The bracket is one row, the result of a global aggregate, and goes to every task.
-    return counted.join(F.broadcast(bracket), inside)
+        return attach(counted, found, keys, "inner").where(inside)
+    # The bucket is one row, the result of a global aggregate, and goes to every task.
+    return counted.join(F.broadcast(found), inside)
+
+
+def _beyond(counted: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """``found`` with ``next``, the smallest value above it."""
+    larger = F.col("v") > F.col("lo")
+    near = found.where(F.col("upto") < F.col("high_rank"))
+    if keys:
+        values = attach(counted, near.select(*keys, "lo"), keys, "inner").where(larger)
+        return attach(found, values.groupBy(*keys).agg(F.min("v").alias("next")), keys)
+    values = counted.join(F.broadcast(near.select("lo")), larger).agg(F.min("v").alias("next"))
+    # Two rows become one.
+    both = found.withColumn("next", F.lit(None).cast("double")).unionByName(values, allowMissingColumns=True)
+    return both.agg(*(F.max(c).alias(c) for c in both.columns))
 
 
-def _pick(inside: DataFrame, keys: list[str], name: str) -> DataFrame:
-    upto = F.sum("w").over(Window.partitionBy(*keys).orderBy("v")) + F.col("before")
-    low = F.min(F.when(F.col("upto") >= F.col("low_rank"), F.col("v")))
-    high = F.min(F.when(F.col("upto") >= F.col("high_rank"), F.col("v")))
-    weight = F.first("weight")
+def _blend(low: Column, high: Column) -> Column:
+    weight = F.col("weight")
     # At weight 0 the two ranks are the same one, and infinite values must not turn into NaN.
-    picked = F.when(weight == 0, low).otherwise(low * (1 - weight) + high * weight)
-    return inside.withColumn("upto", upto).groupBy(*keys).agg(picked.alias(name))
+    return F.when(weight == 0, low).otherwise(low * (1 - weight) + high * weight)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.functions import mean, percent
+from spendscope.operators.joins import attach
 from spendscope.operators.usertotals import user_dimension_totals
 from spendscope.params import Params
 
@@ -31,7 +32,10 @@ def segment_row_share(df: DataFrame, users: DataFrame) -> DataFrame:
     Rows are counted per user before the join, so the join sees one row per user.
     """
     per_user = df.groupBy("cc_num").agg(F.count(F.lit(1)).alias("n"))
-    marked = per_user.join(users.withColumn("interesting", F.lit(True)), "cc_num", "left")
+    return _row_share(per_user.join(users.withColumn("interesting", F.lit(True)), "cc_num", "left"))
+
+
+def _row_share(marked: DataFrame) -> DataFrame:
     inside = F.coalesce(F.sum(F.when(F.col("interesting"), F.col("n"))), F.lit(0))
     counts = marked.agg(
         inside.cast("bigint").alias("interesting_rows"),
@@ -40,6 +44,13 @@ def segment_row_share(df: DataFrame, users: DataFrame) -> DataFrame:
     return counts.withColumn("percent", percent(F.col("interesting_rows"), F.col("all_rows")))
 
 
+def row_share_of(totals: DataFrame, users: DataFrame) -> DataFrame:
+    """``segment_row_share`` from ``user_dimension_totals``: any one dimension counts each row once."""
+    one = totals.where(F.col("dimension") == "hour").select("cc_num", "n")
+    marked = one.join(users.withColumn("interesting", F.lit(True)), "cc_num", "left")
+    return _row_share(marked)
+
+
 def compare_segments(
     df: DataFrame, users: DataFrame, dimensions: Sequence[str], params: Params = Params()
 ) -> DataFrame:
@@ -69,9 +80,7 @@ def compare_totals(totals: DataFrame, users: DataFrame) -> DataFrame:
     sides = marked.groupBy("dimension", "value").agg(
         *side(~interesting, "normal"), *side(interesting, "interesting")
     )
-    return _relate(sides, Window.partitionBy("dimension")).orderBy(
-        "dimension", F.desc("share_diff"), F.asc("value")
-    )
+    return _relate(sides, ["dimension"]).orderBy("dimension", F.desc("share_diff"), F.asc("value"))
 
 
 def compare_by(df: DataFrame, users: DataFrame, dimension: str, params: Params = Params()) -> DataFrame:
@@ -99,16 +108,23 @@ def compare_split(
 
     joined = side(normal, "normal").join(side(interesting, "interesting"), dimension, "full")
     filled = joined.na.fill(0, subset=[c for c in joined.columns if c != dimension])
-    return _relate(filled, Window.partitionBy()).orderBy(F.desc("share_diff"), F.asc(dimension))
+    return _relate(filled, []).orderBy(F.desc("share_diff"), F.asc(dimension))
 
 
-def _relate(sides: DataFrame, whole: Window) -> DataFrame:
-    # One row per value of a dimension is left here, and dimensions have few values.
-    def share(suffix: str) -> Column:
-        return F.try_divide(F.col(f"count_{suffix}"), F.sum(f"count_{suffix}").over(whole))
+def _relate(sides: DataFrame, keys: list[str]) -> DataFrame:
+    """Shares of the totals per ``keys``, and what is derived from them.
 
+    The totals are combined on the map side and joined back, so a dimension may have any
+    number of values.
+    """
+    counts = [f"count_{s}" for s in ("normal", "interesting")]
+    totals = sides.groupBy(*keys).agg(*(F.sum(c).alias(f"all_{c}") for c in counts))
+    # Without keys the totals are one row.
+    joined = attach(sides, totals, keys) if keys else sides.join(F.broadcast(totals), F.lit(True))
+    shares = {f"share_{c[6:]}": F.try_divide(F.col(c), F.col(f"all_{c}")) for c in counts}
     return (
-        sides.withColumns({"share_normal": share("normal"), "share_interesting": share("interesting")})
+        joined.withColumns(shares)
+        .drop(*(f"all_{c}" for c in counts))
         .withColumns(
             {
                 "share_diff": F.col("share_interesting") - F.col("share_normal"),

@@ -29,17 +29,48 @@ def category_stats(df: DataFrame, params: Params = Params()) -> DataFrame:
 
 def category_stats_extended(df: DataFrame, params: Params = Params(), digits: int = 4) -> DataFrame:
     """``category_stats`` with median, standard deviation and mean distance, rounded half-even."""
-    base = df.groupBy("category").agg(
+    counts = df.groupBy("category").agg(
         F.count("trans_num").alias("total_transactions"),
         F.count_distinct("cc_num").alias("unique_users"),
         mean(F.col("amt"), params.amount_decimals).alias("avg_amount"),
-        F.stddev_samp("amt").alias("std_amount"),
-        F.avg("geo_distance_km").alias("avg_distance"),
     )
-    median = exact_quantile(df, "amt", 0.5, ["category"], "interpolated", "median_amount")
+    return extend_category_stats(counts, category_amounts(df), digits)
+
+
+def category_amounts(df: DataFrame) -> DataFrame:
+    """How often each amount occurs in a category, with the distances: small for amounts of money.
+
+    It is what the median, the deviation and the mean distance are made of.
+    """
+    return df.groupBy("category", F.col("amt").cast("double").alias("amt")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("geo_distance_km").alias("distance"), F.count("geo_distance_km").alias("distances")
+    )
+
+
+def extend_category_stats(counts: DataFrame, amounts: DataFrame, digits: int = 4) -> DataFrame:
+    """``category_stats`` with the columns that ``category_amounts`` adds, rounded half-even.
+
+    The deviation is that of the amounts from their mean, added up in one pass over the counts.
+    """
+    n, known = F.col("n"), F.col("amt").isNotNull()
+    weight = F.when(known, n)
+    means = amounts.groupBy("category").agg(
+        F.try_divide(F.sum(F.col("amt") * n), F.sum(weight)).alias("mean_amount"),
+        F.sum(weight).alias("known"),
+        F.try_divide(F.sum("distance"), F.sum("distances")).alias("avg_distance"),
+    )
+    off = F.col("amt") - F.col("mean_amount")
+    squares = attach(amounts, means.select("category", "mean_amount"), ["category"]).groupBy("category").agg(
+        F.sum(off * off * n).alias("squares")
+    )
+    median = exact_quantile(amounts, "amt", 0.5, ["category"], "interpolated", "median_amount", count="n")
+    joined = counts
+    for more in (means, squares, median):
+        joined = attach(joined, more, ["category"])
+    deviation = F.when(F.col("known") > 1, F.sqrt(F.col("squares") / (F.col("known") - 1)))
     rounded = ("avg_amount", "median_amount", "std_amount", "avg_distance")
     return (
-        attach(base, median, ["category"])
+        joined.withColumn("std_amount", deviation)
         .select(
             "category",
             "total_transactions",

@@ -12,17 +12,21 @@ from pyspark.sql import functions as F
 from spendscope.operators.criteria import interesting_summary, interesting_users, user_flags
 from spendscope.operators.features import with_features
 from spendscope.operators.profiles import FACETS, user_profiles
-from spendscope.operators.segments import DIMENSIONS, compare_totals, segment_row_share, split
+from spendscope.operators.segments import DIMENSIONS, compare_totals, over_represented, row_share_of, split
+from spendscope.operators.stats import busiest_hour, category_amounts, extend_category_stats, top_categories
 from spendscope.operators.usertotals import dimension_stats, user_dimension_totals
 from spendscope.params import Params
-from spendscope.session import stored
-from spendscope.sources.readers import read_csv, read_parquet
+from spendscope.session import drop_scratch, scratch_mark, stored
+from spendscope.sources.readers import read_csv, read_parquet, split_corrupt
 from spendscope.sources.sinks import write_by_user, write_parquet
 
 
 @dataclass
 class Analysis:
-    """Lazy results; write or read the ones you need, then call ``release``."""
+    """Lazy results; write or read the ones you need, then call ``release``.
+
+    ``category_stats`` has the median, deviation and mean distance, too.
+    """
 
     transactions: DataFrame
     category_stats: DataFrame
@@ -36,12 +40,19 @@ class Analysis:
     normal: DataFrame
     row_share: DataFrame
     comparison: DataFrame
+    top_categories: DataFrame
+    peak_hour: DataFrame
+    over_represented: DataFrame
     _cached: list[DataFrame] = field(default_factory=list)
+    _mark: int | None = None
 
     def release(self) -> None:
-        """Drop cached rows; tables in the scratch folder stay."""
+        """Drop cached rows and the tables in the scratch folder; results can't be read any more."""
         while self._cached:
             self._cached.pop().unpersist()
+        if self._mark is not None:
+            drop_scratch(self.transactions.sparkSession, self._mark)
+            self._mark = None
 
     def __enter__(self) -> Analysis:
         return self
@@ -61,21 +72,28 @@ class Analysis:
             "summary": self.summary,
             "row_share": self.row_share,
             "comparison": self.comparison,
+            "top_categories": self.top_categories,
+            "peak_hour": self.peak_hour,
+            "over_represented": self.over_represented,
         }
         for name, frame in tables.items():
             if frame is not None:
                 write_parquet(frame, f"{path.rstrip('/')}/{name}")
 
 
-def load(spark: SparkSession, *paths: str, landing: str | None = None) -> DataFrame:
+def load(spark: SparkSession, *paths: str, landing: str | None = None, lenient: bool = False) -> DataFrame:
     """Transactions from the first path that exists; CSV by its ending, else Parquet.
 
+    Bad lines of CSV raise; with ``lenient`` they are left out (``read_csv`` can show them).
+
     With ``landing`` they are first written there as Parquet in the order of user and time:
     one shuffle of the rows, after which every pass reads only the columns it needs and
     aggregates per user are combined before they are shuffled.
     """
     csv = all(p.endswith((".csv", ".csv.gz")) for p in paths)
-    rows = read_csv(spark, *paths) if csv else read_parquet(spark, *paths)
+    rows = read_csv(spark, *paths, lenient=lenient) if csv else read_parquet(spark, *paths)
+    if csv and lenient:
+        rows, _ = split_corrupt(rows)
     if landing is None:
         return rows
     write_by_user(rows, landing)
@@ -89,19 +107,22 @@ def analyse(
     cache_features: bool = False,
     partitions: int | None = None,
 ) -> Analysis:
-    """Build every result of the analysis from three passes over the rows.
+    """Build every result of the analysis from four passes over the rows.
 
-    The passes make the totals per user and value, the totals per user, and the gaps. All
-    other results, except the split rows themselves, come from those smaller tables.
+    The passes make the totals per user and value, the totals per user, the gaps, and the
+    amounts per category, which the medians need. All other results, except the split rows
+    themselves, come from those smaller tables.
 
     With ``keep='table'`` they are computed right here and written to the scratch folder, so
     nothing later repeats the work, joins know their sizes, and lost executors cost nothing.
+    ``release`` drops them, and whatever else was stored in between.
     ``'memory'`` caches them on first use instead; with ``'nothing'`` each result starts over.
 
     Features are cheap to derive again from a columnar source. Caching them, and spreading
     the rows over ``partitions`` first, is for sources that are slow to read, such as CSV.
     """
     cached: list[DataFrame] = []
+    mark = scratch_mark()
 
     def cache(frame: DataFrame) -> DataFrame:
         cached.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
@@ -117,18 +138,22 @@ def analyse(
         tx = cache(tx)
     dimensions = [d for d in DIMENSIONS if d in tx.columns]
     totals = kept(user_dimension_totals(tx, [*dict.fromkeys([*dimensions, *FACETS])], params), "totals")
+    amounts = kept(category_amounts(tx), "category_amounts")
     profiles = kept(user_profiles(tx, params, totals=totals), "profiles")
     flags = kept(user_flags(profiles, tx, params), "flags")
     # The users are a table of their own, so that a join sees the size of the ids alone.
     users = kept(interesting_users(flags), "users")
     interesting, normal = split(tx, users)
-    by_hour = dimension_stats(totals, "hour", "transaction_count")
+    by_hour = dimension_stats(totals, "hour", "transaction_count").withColumn("hour", F.col("hour").cast("int"))
     by_category = dimension_stats(totals, "category", "total_transactions")
     by_state = dimension_stats(totals, "state", "transaction_count").drop("unique_users")
+    by_category = extend_category_stats(by_category, amounts)
+    comparison = compare_totals(totals.where(F.col("dimension").isin(*dimensions)), users)
+    categories = comparison.where(F.col("dimension") == "category").withColumnRenamed("value", "category")
     return Analysis(
         transactions=tx,
-        category_stats=by_category.orderBy(F.desc("total_transactions"), F.asc("category")),
-        hourly_stats=by_hour.withColumn("hour", F.col("hour").cast("int")),
+        category_stats=by_category,
+        hourly_stats=by_hour,
         state_stats=by_state if "state" in dimensions else None,
         profiles=profiles,
         flags=flags,
@@ -136,7 +161,11 @@ def analyse(
         summary=interesting_summary(flags),
         interesting=interesting,
         normal=normal,
-        row_share=segment_row_share(tx, users),
-        comparison=compare_totals(totals.where(F.col("dimension").isin(*dimensions)), users),
+        row_share=row_share_of(totals, users),
+        comparison=comparison,
+        top_categories=top_categories(by_category),
+        peak_hour=busiest_hour(by_hour),
+        over_represented=over_represented(categories),
         _cached=cached,
+        _mark=mark if keep == "table" else None,
     )

@@ -243,15 +243,28 @@ def oracles() -> dict[str, str]:
             ("1DN vs 3DN (Оптимизированная)", "exp_1dn_optimized", "exp_3dn_optimized"),
         )
     )
-    return {
+    found = {
         "csv_scan": f"{BASE} SELECT CAST(trans_num AS VARCHAR) AS trans_num, {tx_columns} FROM tx",
-        "csv_scan_inferred": f"""{BASE} SELECT CAST(trans_num AS VARCHAR) AS trans_num, cc_num, category, amt
+        "csv_scan_inferred": f"""{BASE} SELECT CAST(trans_num AS VARCHAR) AS trans_num, {tx_columns},
+            'trans_num int, cc_num int, trans_date_trans_time timestamp, category string, merchant string, '
+            || 'amt double, lat double, long double, merch_lat double, merch_long double' AS inferred_types
             FROM tx""",
+        "csv_scan_lenient": f"""{BASE} SELECT CASE WHEN trans_num % 83 <> 0 THEN cc_num END AS cc_num,
+            count(*) FILTER (trans_num % 97 <> 0 AND trans_num % 89 <> 0 AND trans_num % 83 <> 0) AS good_rows,
+            count(*) FILTER (trans_num % 97 = 0 OR trans_num % 89 = 0 OR trans_num % 83 = 0) AS bad_rows,
+            count(*) FILTER (trans_num % 97 <> 0) AS amounts, count(*) FILTER (trans_num % 89 <> 0) AS times
+            FROM tx GROUP BY 1""",
         "parquet_result_sink": f"{BASE} {CATEGORY}",
         "table_shape": f"{BASE} SELECT count(*) AS row_count, CAST(10 AS INTEGER) AS column_count FROM tx",
         "preview_rows": f"{BASE} SELECT trans_num, {tx_columns} FROM tx ORDER BY trans_num LIMIT 5",
         "column_profile": _column_rows(only_missing=False),
         "missing_values": _column_rows(only_missing=True),
+        "type_counts": f"""SELECT data_type, count(*) AS columns
+            FROM ({_column_rows(only_missing=False)}) GROUP BY data_type""",
+        "features_without_position": f"""{BASE} SELECT category, count(*) AS rows, CAST(0 AS BIGINT) AS distances,
+            max(hour) AS last_hour FROM tx GROUP BY category""",
+        "renamed_by_position": f"""{BASE} SELECT hour AS hour_of_day, transaction_count AS purchases,
+            avg_amount AS mean_amount, unique_users AS people FROM ({HOURLY})""",
         "features": f"""{BASE} SELECT trans_num, cc_num, trans_date_trans_time, hour,
             CAST(dayofweek(trans_date_trans_time) + 1 AS INTEGER) AS day_of_week,
             CAST(CASE WHEN dayofweek(trans_date_trans_time) IN (0, 6) THEN 1 ELSE 0 END AS INTEGER)
@@ -338,10 +351,10 @@ def oracles() -> dict[str, str]:
             share_interesting, share_diff, amount_ratio FROM compared
             ORDER BY share_diff DESC, category LIMIT 10""",
         "metrics_scan_json": f"""{RUNS} SELECT experiment, execution_time, rows_processed, num_executors,
-            driver_memory_mb, CAST(1024 AS INTEGER) AS executor_memory_mb, total_executor_memory_mb
-            FROM runs JOIN memory USING (experiment)""",
-        "metrics_csv_sink": f"""{RUNS} SELECT experiment, execution_time, rows_processed, seconds AS stage_r
-            FROM runs JOIN stages USING (experiment) WHERE stage = 'R'""",
+            driver_memory_mb, CAST(1024 AS INTEGER) AS executor_memory_mb, total_executor_memory_mb, stage, seconds
+            FROM runs JOIN memory USING (experiment) JOIN stages USING (experiment)""",
+        "metrics_csv_sink": f"""{RUNS} SELECT experiment, execution_time, rows_processed, stage, seconds
+            FROM runs JOIN stages USING (experiment)""",
         "metrics_kv_fallback": f"""{RUNS} SELECT experiment, execution_time, rows_processed FROM runs
             WHERE experiment <> 'exp_3dn_base'""",
         "metrics_labels": f"""{RUNS} SELECT experiment,
@@ -360,3 +373,11 @@ def oracles() -> dict[str, str]:
             driver_memory_mb + total_executor_memory_mb AS total_memory_mb
             FROM runs JOIN memory USING (experiment)""",
     }
+    same = {
+        "categories": "category_stats_ext", "hours": "hourly_stats", "states": "state_stats", "flags": "user_flags",
+        "row_share": "segment_row_share", "comparison": "compare_all_dimensions",
+    }
+    tops = f"""SELECT 'category' AS kind, category, total_transactions AS n FROM ({found['top10_categories']})
+        UNION ALL SELECT 'over', category, NULL FROM ({found['top_over_represented']})
+        UNION ALL SELECT 'hour', CAST(peak_hour AS VARCHAR), transaction_count FROM ({found['peak_hour_global']})"""
+    return found | {f"whole_analysis_{k}": found[v] for k, v in same.items()} | {"whole_analysis_tops": tops}

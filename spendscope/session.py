@@ -8,10 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str | None = None, app: str = "spendscope", **conf: object) -> SparkSession:
+def build_session(
+    master: str | None = None, app: str = "spendscope", partitions: int | None = None, **conf: object
+) -> SparkSession:
     """A session with the settings the operators rely on; ``conf`` adds or overrides.
 
-    Keyword names use ``__`` for the dots of Spark's own keys.
+    Keyword names use ``__`` for the dots of Spark's own keys. ``partitions`` is the shuffle
+    width before adaptive execution merges small partitions: about one for every 200 MB of the
+    largest shuffle.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -25,27 +29,35 @@ def build_session(master: str | None = None, app: str = "spendscope", **conf: ob
     )
     if master:
         builder = builder.master(master)
+    if partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
     return builder.getOrCreate()
 
 
 _local_root: str | None = None
+_written: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a session inside one process may fall back to a temporary folder of this machine.
     """
     global _local_root
+    master = spark.sparkContext.master
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if root and root.startswith("file:") and not master.startswith("local"):
+        raise ValueError(f"executors do not share {root}; set spark.checkpoint.dir to a folder that they do")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _local_root = _local_root or tempfile.mkdtemp(prefix="spendscope-")
         root = _local_root
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -58,3 +70,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_mark() -> int:
+    """How many scratch tables there are; what is written later can be dropped from here on."""
+    return len(_written)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables that this process has written since ``scratch_mark()``.
+
+    Results that still read them must have been written or read before.
+    """
+    for path in _written[since:]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    del _written[since:]

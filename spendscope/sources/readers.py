@@ -17,6 +17,7 @@ from spendscope.schemas import RUN_METRICS, TRANSACTIONS
 logger = logging.getLogger(__name__)
 
 CSV_OPTIONS = {"header": True, "escape": '"'}
+CORRUPT = "_corrupt_record"
 
 
 def first_available(paths: tuple[str, ...], read: Callable[[str], DataFrame]) -> DataFrame:
@@ -40,33 +41,47 @@ def read_csv(
 
     Columns are matched by the header's names: known ones get their type, others stay text,
     and known ones that the file lacks are simply absent. Only the header is read up front.
-    Times are read as text and then cast, which accepts any number of fraction digits; a bad
-    one raises, or becomes NULL with ``lenient``. A number that cannot be read is NULL.
+    Times are read as text and then cast, which accepts any number of fraction digits.
+
+    A line with too few or too many values raises, and a value that cannot be read does when
+    its column is used. With ``lenient`` values are NULL instead, and ``_corrupt_record`` holds
+    the line or the first bad value, so that such rows can be counted and taken out: see
+    ``split_corrupt``.
     """
     types = {f.name: f.dataType for f in schema.fields}
     times = [n for n, t in types.items() if isinstance(t, (T.TimestampNTZType, T.TimestampType))]
 
     def read(path: str) -> DataFrame:
         names = spark.read.options(**CSV_OPTIONS).csv(path).columns
-        text = {*times, *(n for n in names if n not in types)}
+        # The lenient way casts every column by itself, so that a bad value shows up in the
+        # extra column whichever columns are used.
+        text = set(names) if lenient else {*times, *(n for n in names if n not in types)}
         fields = [T.StructField(n, T.StringType() if n in text else types[n]) for n in names]
         # Every file's header is checked, unless a column without a name makes that impossible.
         unnamed = any(re.fullmatch(r"_c\d+", n) for n in names)
+        if lenient:
+            fields.append(T.StructField(CORRUPT, T.StringType()))
         rows = (
             spark.read.schema(T.StructType(fields))
-            .options(**CSV_OPTIONS, enforceSchema=unnamed)
+            .options(**CSV_OPTIONS, enforceSchema=unnamed, columnPruning=False)
+            .options(mode="PERMISSIVE" if lenient else "FAILFAST", columnNameOfCorruptRecord=CORRUPT)
             .csv(path)
         )
-        cast = {
-            n: F.col(n).try_cast(types[n]) if lenient else F.col(n).cast(types[n])
-            for n in times
-            if n in names
-        }
+        found = [n for n in names if n in types] if lenient else [n for n in times if n in names]
+        if lenient:
+            bad = [F.when(F.col(n).isNotNull() & F.col(n).try_cast(types[n]).isNull(), F.col(n)) for n in found]
+            rows = rows.withColumn(CORRUPT, F.coalesce(F.col(CORRUPT), *bad))
+        cast = {n: F.col(n).try_cast(types[n]) if lenient else F.col(n).cast(types[n]) for n in found}
         return rows.withColumns(cast) if cast else rows
 
     return first_available(paths, read)
 
 
+def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows read with ``lenient``: the good ones without the extra column, and the bad ones with it."""
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull())
+
+
 def read_csv_inferred(spark: SparkSession, *paths: str) -> DataFrame:
     """CSV with inferred types, at the price of one more pass over the data."""
     return first_available(paths, lambda p: spark.read.options(**CSV_OPTIONS, inferSchema=True).csv(p))

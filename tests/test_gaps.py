@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from spendscope.operators.gaps import (
     burst_users,
-    hot_users,
-    previous_instants,
+    first_transactions,
     short_gap_counts,
     window_burst_users,
     with_gaps,
@@ -59,8 +58,7 @@ def test_short_gaps_against_brute_force(spark, mode, limit):
 
 
 @pytest.mark.parametrize("mode", ["seconds", "exact"])
-@pytest.mark.parametrize("hot_rows", [0, 300, 10**6])
-def test_row_gaps_against_brute_force(spark, mode, hot_rows):
+def test_row_gaps_against_brute_force(spark, mode):
     data = random_rows(3)
     expected = Counter()
     for seq in ordered(data).values():
@@ -70,24 +68,49 @@ def test_row_gaps_against_brute_force(spark, mode, hot_rows):
     for i, row in enumerate(data):
         if row["trans_date_trans_time"] is None:
             expected[(f"t{i:05d}", None)] += 1
-    got = with_gaps(frame(spark, data), Params(gap=mode), hot_rows).select("trans_num", "time_diff")
+    got = with_gaps(frame(spark, data), Params(gap=mode)).select("trans_num", "time_diff")
     assert Counter(map(tuple, got.collect())) == expected
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 3600, 10**7])
-def test_previous_instants_for_any_chunk(spark, chunk):
+def test_first_transactions_for_any_chunk(spark, chunk):
     data = random_rows(11)
     expected = set()
     for user, seq in ordered(data).items():
         times = sorted({t for t, _ in seq})
-        expected |= {(user, t, p) for p, t in zip([None, *times], times)}
-    got = previous_instants(frame(spark, data), chunk).select("cc_num", "trans_date_trans_time", "previous_time")
-    assert set(map(tuple, got.collect())) == expected
+        expected |= {(user, t, min(n for u, n in seq if u == t), p) for p, t in zip([None, *times], times)}
+    assert set(map(tuple, first_transactions(frame(spark, data), chunk).collect())) == expected
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_one_row_of_an_instant_has_the_gap(spark, parts):
+    # Copies of one transaction, and transactions without a number, at one instant.
+    data = [{"cc_num": 1, "trans_date_trans_time": at(0), "trans_num": "a"}]
+    data += [{"cc_num": 1, "trans_date_trans_time": at(300), "trans_num": n} for n in ("b", "b", None, None, "c")]
+    data += [{"cc_num": 1, "trans_date_trans_time": at(900), "trans_num": "d"} for _ in range(40)]
+    data += [{"cc_num": None, "trans_date_trans_time": at(5 * i), "trans_num": None} for i in (0, 0, 1)]
+    df = frame(spark, data).repartition(parts)
+    got = Counter((r["cc_num"], r["trans_num"], r["time_diff"]) for r in with_gaps(df).collect())
+    assert got == Counter(
+        {
+            (1, "a", None): 1, (1, None, 300): 1, (1, None, 0): 1, (1, "b", 0): 2, (1, "c", 0): 1,
+            (1, "d", 600): 1, (1, "d", 0): 39, (None, None, None): 1, (None, None, 0): 1, (None, None, 5): 1,
+        }
+    )
+
+
+def test_two_scans_and_no_sort_by_user(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    frame(spark, random_rows(1)).write.parquet(path)
+    plan = with_gaps(spark.read.parquet(path))
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") <= 2
+    assert "rangepartitioning" not in final and "BroadcastNestedLoopJoin" not in final
 
 
 @pytest.mark.parametrize("limit,m", [(1, 2), (60, 1), (60, 4), (600, 9), (3600, 30), (600, 451), (600, 600)])
-@pytest.mark.parametrize("hot_rows", [0, 300, 10**6])
-def test_window_bursts_against_brute_force(spark, limit, m, hot_rows):
+def test_window_bursts_against_brute_force(spark, limit, m):
     data = random_rows(limit + m)
     expected = set()
     for user, seq in ordered(data).items():
@@ -95,16 +118,10 @@ def test_window_bursts_against_brute_force(spark, limit, m, hot_rows):
         if any((times[i] - times[i - m + 1]).total_seconds() <= limit for i in range(m - 1, len(times))):
             expected.add(user)
     params = Params(gap_seconds=limit, window_transactions=m, burst="window")
-    got = window_burst_users(frame(spark, data), params, hot_rows)
+    got = window_burst_users(frame(spark, data), params)
     assert {r["cc_num"] for r in got.collect()} == expected
 
 
-def test_hot_users_are_found(spark):
-    df = frame(spark, random_rows(2))
-    assert rows(hot_users(df, 300)) == [(0,)]
-    assert hot_users(df, 10**6).count() == 0
-
-
 def test_edges(spark):
     params = Params(short_gaps=1)
     for seconds, hit in ((599, True), (600, False), (601, False)):
@@ -132,7 +149,7 @@ def test_local_times_ignore_clock_changes(new_york):
     assert {r["time_diff"] for r in with_gaps(df, Params(gap="exact")).collect()} == {None, 3602.0}
     zoned = df.withColumn("trans_date_trans_time", F.col("trans_date_trans_time").cast("timestamp"))
     assert rows(short_gap_counts(zoned)) == [(1, 1)]
-    assert {r["time_diff"] for r in with_gaps(zoned, hot_rows=0).collect()} == {None, 2}
+    assert {r["time_diff"] for r in with_gaps(zoned).collect()} == {None, 2}
 
 
 def test_before_1970(spark):
@@ -141,9 +158,7 @@ def test_before_1970(spark):
     zero = frame(spark, [{"cc_num": 1, "trans_date_trans_time": at(s - 1704067200)} for s in (-599, 599)])
     assert rows(short_gap_counts(zero)) == []
     close = frame(spark, [{"cc_num": 1, "trans_date_trans_time": at(s - 1704067200)} for s in (-0.1, 0.1)])
-    for hot_rows in (0, 10):
-        found = with_gaps(close, Params(gap="exact"), hot_rows).collect()
-        assert {r["time_diff"] for r in found} == {None, 0.2}
+    assert {r["time_diff"] for r in with_gaps(close, Params(gap="exact")).collect()} == {None, 0.2}
 
 
 def test_bad_parameters():

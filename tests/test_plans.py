@@ -1,11 +1,13 @@
 """Shapes of the physical plans, and the whole analysis."""
 
+import os
 import re
 
 import pytest
 from conftest import SF_SMALL
 from helpers import rows
 
+from spendscope import session
 from spendscope.operators import criteria, gaps, profiles, segments, stats
 from spendscope.operators.features import with_features
 from spendscope.params import Params
@@ -32,6 +34,9 @@ def tx(spark):
 def test_no_python_and_no_cartesian(spark, name):
     text = plan(REGISTRY[name](spark, SF_SMALL))
     assert not re.search(r"Python|Pandas|CartesianProduct", text)
+    # Nested loops only where one side is a single row: the bracket of a quantile, or totals.
+    loops = re.findall(r"BroadcastNestedLoopJoin.*", text)
+    assert len(loops) <= 12
 
 
 def test_columns_are_pruned(spark, tx):
@@ -79,7 +84,7 @@ def test_analysis_statistics_equal_the_direct_ones(spark):
     done = analyse(rows_, TUNED, keep="nothing")
     direct = with_features(rows_, TUNED)
     for got, expected in (
-        (done.category_stats, stats.category_stats(direct, TUNED)),
+        (done.category_stats, stats.category_stats_extended(direct, TUNED)),
         (done.hourly_stats, stats.hourly_stats(direct, TUNED)),
         (done.state_stats, stats.state_stats(direct, TUNED)),
         (done.profiles, profiles.user_profiles(direct, TUNED)),
@@ -98,6 +103,29 @@ def test_analysis_of_nothing(spark):
             assert tuple(done.row_share.first()) == (0, 0, 0.0)
 
 
+def test_analysis_reads_the_source_four_times(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    transactions(spark, SF_SMALL, with_state=True).write.parquet(path)
+    source = spark.read.parquet(path)
+    with analyse(source, TUNED, keep="nothing") as lazy:
+        for name in ("row_share", "comparison", "category_stats", "hourly_stats"):
+            assert plan(getattr(lazy, name)).count(path) > 0
+    with analyse(source, TUNED) as done:
+        # Everything else comes from the stored tables.
+        for name in ("category_stats", "hourly_stats", "state_stats", "profiles", "flags", "users", "summary",
+                     "row_share", "comparison", "top_categories", "peak_hour", "over_represented"):
+            assert path not in plan(getattr(done, name)), name
+
+
+def test_scratch_tables_go(spark):
+    mark = session.scratch_mark()
+    with analyse(transactions(spark, SF_SMALL), TUNED) as done:
+        assert done.summary.count() > 0
+        paths = [p.removeprefix("file:") for p in session._written[mark:]]
+        assert len(paths) >= 5 and all(os.path.exists(p) for p in paths)
+    assert not any(os.path.exists(p) for p in paths) and session.scratch_mark() == mark
+
+
 def test_landing(spark, tmp_path):
     write_csv(transactions(spark, SF_SMALL), str(tmp_path / "rows.csv"))
     landed = load(spark, str(tmp_path / "rows.csv"), landing=str(tmp_path / "landed"))

@@ -24,15 +24,14 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("shape", SHAPES)
-@pytest.mark.parametrize("buckets,rounds", [(4096, 1), (3, 2), (2, 4), (7, 0)])
-def test_against_sorting(spark, shape, buckets, rounds):
+def test_against_sorting(spark, shape):
     r = random.Random(shape)
     values = [SHAPES[shape](r) for _ in range(777)]
     df = numbers(spark, values).cache()
     for p in (0.0, 0.37, 0.95, 1.0):
-        got = exact_quantile(df, "v", p, buckets=buckets, rounds=rounds).first()[0]
+        got = exact_quantile(df, "v", p).first()[0]
         assert got == nearest_rank(values, p)
-    got = exact_quantile(df, "v", 0.95, method="interpolated", buckets=buckets, rounds=rounds).first()[0]
+    got = exact_quantile(df, "v", 0.95, method="interpolated").first()[0]
     assert got == pytest.approx(np.quantile(values, 0.95), rel=1e-12)
     df.unpersist()
 
@@ -78,6 +77,35 @@ def test_buckets_keep_the_order(spark):
     assert buckets == sorted(buckets)
 
 
+def test_nearly_equal_values_and_an_outlier(spark):
+    # All but one value lie in one bucket of the first histograms.
+    n = 200_000
+    df = spark.range(n).select((F.lit(100.1) + F.col("id") * 1e-12).alias("v")).union(numbers(spark, [100.2]))
+    values = np.append(100.1 + np.arange(n) * 1e-12, 100.2)
+    for p in (0.25, 0.5, 0.999, 1.0):
+        assert exact_quantile(df, "v", p).first()[0] == nearest_rank(values, p)
+    assert exact_quantile(df, "v", 0.5, method="interpolated").first()[0] == pytest.approx(np.quantile(values, 0.5), rel=1e-15)
+
+
+def test_two_far_clusters(spark):
+    df = numbers(spark, [1.0 + i * 2**-52 for i in range(50)] + [1e9 + i for i in range(50)])
+    values = [1.0 + i * 2**-52 for i in range(50)] + [1e9 + i for i in range(50)]
+    assert exact_quantile(df, "v", 0.5, method="interpolated").first()[0] == pytest.approx(np.quantile(values, 0.5))
+
+
+def test_values_are_never_sorted(spark):
+    # Windows run over histograms only, ordered by bucket.
+    plan = exact_quantile(numbers(spark, [1.0, 2.0]), "v", 0.5)._jdf.queryExecution().optimizedPlan().toString()
+    orders = [line for line in plan.split("\n") if "Window " in line and "bucket" not in line and "windowspecdefinition" in line]
+    assert not [line for line in orders if " ASC" in line.replace("bucket", "")]
+
+
+def test_counted_values(spark):
+    df = spark.createDataFrame([(1.0, 5), (2.0, 1), (9.0, 4)], "v double, n long")
+    assert exact_quantile(df, "v", 0.5, count="n").first()[0] == 1.0
+    assert exact_quantile(df, "v", 0.5, method="interpolated", count="n").first()[0] == 1.5
+
+
 def test_unknown_method(spark):
     with pytest.raises(ValueError):
         exact_quantile(numbers(spark, [1.0]), "v", 0.5, method="other")

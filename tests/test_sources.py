@@ -4,9 +4,11 @@ from datetime import datetime
 
 import pytest
 from helpers import at, frame, rows
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
+from spendscope.plans import load
 from spendscope.operators.runmetrics import flatten_metrics, with_text_fallback
 from spendscope.session import scratch_path, stored
 from spendscope.sources import readers, sinks
@@ -38,6 +40,25 @@ def test_csv_bad_time(spark, tmp_path):
         readers.read_csv(spark, str(path)).collect()
 
 
+def test_csv_bad_values(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    good = "1,2021-05-06 07:08:09,4.97,a"
+    bad = ['2,2021-05-06 07:08:09,"1,250.00",b', "x,2021-05-06 07:08:09,1.0,c", "3,2021-05-06", "4,never,1.0,d"]
+    header = "cc_num,trans_date_trans_time,amt,trans_num"
+    for line in bad:
+        path.write_text("\n".join([header, good, line]) + "\n")
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            readers.read_csv(spark, str(path)).collect()
+    path.write_text("\n".join([header, good, *bad]) + "\n")
+    read = readers.read_csv(spark, str(path), lenient=True)
+    fine, corrupt = readers.split_corrupt(read)
+    assert [r["trans_num"] for r in fine.collect()] == ["a"] and readers.CORRUPT not in fine.columns
+    assert corrupt.count() == corrupt.select("trans_num").count() == 4
+    shown = {r["trans_num"]: r for r in corrupt.collect()}
+    assert shown["b"]["amt"] is None and shown["c"]["cc_num"] is None and shown["d"]["trans_date_trans_time"] is None
+    assert load(spark, str(path), lenient=True).count() == 1
+
+
 def test_fallback(spark, csv_file):
     assert readers.read_csv(spark, "/nowhere/a.csv", "/nowhere/b.csv", csv_file).count() == 1
     assert readers.read_csv(spark, "hdfs://no-such-host:9000/a.csv", csv_file).count() == 1
