@@ -9,8 +9,10 @@ the pieces per shard and is far below a percent at the default.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -25,41 +27,58 @@ from spendscope.session import stored
 CAPACITY = 4096
 END_ID = 2
 SHARD_PIECES = 1 << 17
-#: Distinct words whose ids a task remembers.
-REMEMBERED = 1 << 18
+#: Distinct words whose ids a task remembers, about 150 bytes each.
+REMEMBERED = 1 << 20
 SHARD_SEQUENCES = 1 << 40
 
 
+#: Words of Latin letters, which stay as they are but for being made small.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def _spelling() -> dict[int, str]:
+    """How a byte-level vocabulary spells the letters of Latin-1: one printable character per byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    spelled = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+    return {c: "".join(spelled[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class WordEncoder:
     """Token ids of texts, word by word, for a tokenizer that drops white space.
 
     Its parts (normal form, lower case, split, merges) work on each run without white space on
     its own, so the ids of a text are those of its words in a row. A full stop or comma behind
     an ASCII letter or digit is a part of its own, too, which saves remembering both forms.
+    Words of plain letters go straight to the merges.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.spelling = self.tokenizer.model, _spelling()
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[int, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.at = np.zeros(1, np.int64)
+        # In parts, which are joined when there are many.
+        self.ids, self.at = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        line, ends, n = " ".join(texts), [], 0
-        for t in texts:
-            n += len(t) + 1
-            ends.append(n)
-        coded = self.tokenizer.encode(line, add_special_tokens=False)
-        place = np.array([o[0] for o in coded.offsets], np.int64)
-        count = np.bincount(np.searchsorted(ends, place, "right"), minlength=len(texts))
+        found: list[list[int]] = [[]] * len(texts)
+        rest = []
+        for i, t in enumerate(texts):
+            if _PLAIN.fullmatch(t):
+                spelled = t.lower() if t.isascii() else t.lower().translate(self.spelling)
+                found[i] = [x.id for x in self.model.tokenize(spelled)]
+            else:
+                rest.append(i)
+        for i, coded in zip(rest, self.tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
+            found[i] = coded.ids
         self.known.update(zip(hashes.tolist(), range(len(self.known), len(self.known) + len(texts))))
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(count)])
-        self.ids = np.concatenate([self.ids, np.array(coded.ids, np.int32)])
+        self.at.append(self.at[-1][-1] + np.cumsum([len(f) for f in found]))
+        self.ids.append(np.fromiter(chain.from_iterable(found), np.int32))
 
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids start."""
@@ -80,18 +99,19 @@ class WordEncoder:
         code, distinct = pd.factorize(hashes)
         if len(self.known) + len(distinct) > REMEMBERED:
             self._forget()
-        index = [self.known.get(h, -1) for h in distinct.tolist()]
-        new = np.flatnonzero(np.array(index, np.int64) < 0)
+        index = np.fromiter(map(self.known.get, distinct.tolist(), repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(index < 0)
         if len(new):
             where = np.empty(len(distinct), np.int64)
             where[code[::-1]] = np.arange(len(code))[::-1]
             where = where[new]
             self._learn(distinct[new], [raw[a:b].tobytes().decode() for a, b in zip(start[where], end[where])])
-            index = [self.known[h] for h in distinct.tolist()]
-        index = np.array(index, np.int64)
-        at, count = self.at[index][code], (self.at[index + 1] - self.at[index])[code]
+            index[new] = len(self.known) - len(new) + np.arange(len(new))
+            self.at, self.ids = [np.concatenate(self.at)], [np.concatenate(self.ids)]
+        (known_at,), (known_ids,) = self.at, self.ids
+        at, count = known_at[index][code], (known_at[index + 1] - known_at[index])[code]
         total = np.concatenate([[0], np.cumsum(count)])
-        ids = self.ids[np.repeat(at - total[:-1], count) + np.arange(total[-1])] if len(code) else self.ids[:0]
+        ids = known_ids[np.repeat(at - total[:-1], count) + np.arange(total[-1])] if len(code) else known_ids[:0]
         return ids, total[first]
 
 
