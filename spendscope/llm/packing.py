@@ -28,7 +28,7 @@ CAPACITY = 4096
 END_ID = 2
 SHARD_PIECES = 1 << 17
 #: Distinct words whose ids a task remembers, about 150 bytes each.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 SHARD_SEQUENCES = 1 << 40
 
 
@@ -119,7 +119,7 @@ def _piece_maker(path: str, capacity: int, end_id: int, with_ids: bool):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)
         for batch in batches:
-            for words in split_words(batch.column("body"), PLAIN, 1 << 20):
+            for words in split_words(batch.column("body"), PLAIN, 1 << 19):
                 ids, at = encoder.encode(words)
                 rows, starts, lengths, sums, totals, tokens = [], [], [], [], [], []
                 for i in range(len(words)):
