@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.llm.batches import in_small_batches
-from spendscope.llm.words import PLAIN, U64, spans_hash
+from spendscope.llm.words import U64, bytes_hash
 
 UNIT = 1_000_000
-#: Bytes of a unit up to which it is handled on arrays; longer ones are rare.
+#: Bytes of a unit up to which it is handled on arrays; longer ones are rare. Both ways find the same paths.
 SHORT = 64
 #: Bytes of texts that are segmented together.
 BLOCK = 1 << 22
@@ -64,14 +64,15 @@ class Vocabulary:
                 self.spelled.append(b"")
             else:
                 own = name.replace("▁", " ").encode()
+                # A text is cut before each line feed, behind it, and before a space that follows another character.
+                if b" " in own.lstrip(b" ") or (b"\n" in own and own != b"\n"):
+                    raise ValueError(f"piece {name!r} reaches over the border of two units")
                 self.spelled.append(own)
                 self.piece[own] = (-round(math.log(2 + len(self.piece)) * UNIT), i)
         self.byte_score = min(s for s, _ in self.piece.values()) - 10 * UNIT
-        self.longest = max(map(len, self.piece))
         texts = list(self.piece)
         at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        values = PLAIN.folded[np.frombuffer(b"".join(texts), np.uint8)]
-        hashes = spans_hash(values, at[:-1], at[1:])
+        hashes = bytes_hash(np.frombuffer(b"".join(texts), np.uint8), at[:-1], at[1:])
         order = np.argsort(hashes)
         self.hash = hashes[order]
         pairs = np.array([self.piece[t] for t in texts], np.int64)[order]
@@ -86,10 +87,10 @@ class Vocabulary:
         """Where the pieces start that end at ``end``, and their scores."""
         if end < len(unit) and unit[end] & 0xC0 == 0x80:
             return
-        for start in range(max(0, end - self.longest), end):
-            found = self.piece.get(unit[start:end])
+        for length in self.lengths:
+            found = self.piece.get(unit[end - length : end]) if length <= end else None
             if found:
-                yield start, found[0]
+                yield end - length, found[0]
         start = end - 1
         while unit[start] & 0xC0 == 0x80:
             start -= 1
@@ -104,17 +105,25 @@ class Vocabulary:
         return out
 
     def search(self, unit: bytes, n: int) -> list[tuple[int, list[int]]]:
-        """The ``n`` best segmentations: scores and ids, best first."""
+        """The ``n`` best segmentations: scores and ids, best first.
+
+        Of equal bounds the entry nearest the start comes first, so the best path is found
+        without looking at others as good, and it is the one that ``best`` gives: from the
+        end, each piece is the longest of those on a best path. No place lies on more than
+        ``n`` of the paths to be found with different ends, so later visits are skipped.
+        """
         best = [0] + [NEVER] * len(unit)
         into: list[list[tuple[int, int]]] = [[]]
         for end in range(1, len(unit) + 1):
             into.append([(s, w) for s, w in self.edges(unit, end) if best[s] > NEVER])
             best[end] = max((best[s] + w for s, w in into[end]), default=NEVER)
-        # Entries: negative bound, order of entry, place, score behind it, places behind it.
-        heap: list[tuple] = [(-best[-1], 0, len(unit), 0, (len(unit), None))]
+        # Entries: negative bound, place, order of entry (newest first), score behind it, places behind it.
+        heap: list[tuple] = [(-best[-1], len(unit), 0, 0, (len(unit), None))]
+        visits = [0] * (len(unit) + 1)
         out, entered = [], 0
         while heap and len(out) < n:
-            _, _, place, behind, path = heapq.heappop(heap)
+            _, place, _, behind, path = heapq.heappop(heap)
+            visits[place] += 1
             if place == 0:
                 places = []
                 while path:
@@ -122,9 +131,11 @@ class Vocabulary:
                     path = path[1]
                 out.append((behind, self.ids(unit, places)))
                 continue
+            if visits[place] > n:
+                continue
             for start, score in into[place]:
-                entered += 1
-                heapq.heappush(heap, (-(best[start] + behind + score), entered, start, behind + score, (start, path)))
+                entered -= 1
+                heapq.heappush(heap, (-(best[start] + behind + score), start, entered, behind + score, (start, path)))
         return out
 
     def best(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -136,11 +147,10 @@ class Vocabulary:
         length = np.diff(at)
         unit_of = np.repeat(np.arange(units), length)
         end_of = at[1:][unit_of]
-        values = PLAIN.folded[raw]
         starts, ends, scores, ids = [], [], [], []
         for n in self.lengths:
             start = np.flatnonzero(np.arange(n, size + n) <= end_of)
-            hashes = spans_hash(values, start, start + n)
+            hashes = bytes_hash(raw, start, start + n)
             near = np.flatnonzero(self.maybe[(hashes & U64(_SLOTS - 1)).astype(np.int64)])
             place = np.minimum(np.searchsorted(self.hash, hashes[near]), len(self.hash) - 1)
             hit = self.hash[place] == hashes[near]
@@ -279,7 +289,7 @@ class Segmenter:
         start = np.flatnonzero(new)
         end = np.append(start[1:], len(raw))
         first = np.searchsorted(start, at)
-        code, distinct = pd.factorize(spans_hash(PLAIN.folded[raw], start, end))
+        code, distinct = pd.factorize(bytes_hash(raw, start, end))
         if len(self.known) + len(distinct) > REMEMBERED:
             self._forget()
         index = np.array([self.known.get(h, -1) for h in distinct.tolist()], np.int64)

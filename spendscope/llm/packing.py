@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.llm.batches import in_small_batches
-from spendscope.llm.words import LOWER, PLAIN, Words, spans_hash, split_words
+from spendscope.llm.words import LOWER, PLAIN, Words, bytes_hash, split_words
 from spendscope.session import stored
 
 CAPACITY = 4096
@@ -95,7 +95,7 @@ class WordEncoder:
         end = np.insert(end, cut + 1, tail)
         # The names of special tokens are found before letters are made small.
         named = b"<|" in raw.tobytes()
-        hashes = spans_hash((PLAIN if named else LOWER).folded[raw], start, end)
+        hashes = bytes_hash((PLAIN if named else LOWER).folded[raw], start, end)
         code, distinct = pd.factorize(hashes)
         if len(self.known) + len(distinct) > REMEMBERED:
             self._forget()

@@ -1,9 +1,11 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features are the distinct words, pairs of adjacent words and pairs one word apart, hashed to
-``FEATURE_BITS`` bits. FTRL-proximal learns with a rate per coordinate; its L1 penalty leaves a
-few thousand weights that are not 0. These are sent to all tasks, and every text is scored
-where it lies, without a shuffle.
+``FEATURE_BITS`` bits, and the first ``STEMS`` bytes of longer words, so that unseen endings of
+a word count as well. FTRL-proximal learns with a rate per coordinate; its L1 penalty leaves
+some hundred weights that are not 0. These are sent to all tasks, and every text is scored
+where it lies, without a shuffle. Toxic texts are the fewer and weigh ``TOXIC_WEIGHT`` times as
+much, so the score of 0.5 stands between the two kinds and not at the rarer one's edge.
 """
 
 from __future__ import annotations
@@ -18,34 +20,51 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendscope.llm.batches import in_small_batches
-from spendscope.llm.words import LOWER_ALNUM, U64, Words, as_long, mix, split_words, windows_hash
+from spendscope.llm.words import LOWER_ALNUM, U64, Words, as_long, bytes_hash, mix, split_words, windows_hash
 from spendscope.session import stored
 
 #: Labelled rows that the model is fitted on at most: those with the smallest hashed ids.
 SAMPLE_ROWS = 8192
 FEATURE_BITS = 48
-#: Texts of the sample that a feature must occur in.
-LEAST_TEXTS = 3
+STEMS = (4, 6, 8)
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 1.5, 1.0
-#: Weights kept at most, the largest; the broadcast has 16 bytes for each.
-MOST_WEIGHTS = 1 << 17
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 12.0, 1.0
+TOXIC_WEIGHT = 3.0
 
 
-def features(words: Words) -> Iterator[np.ndarray]:
-    """The distinct features of each text."""
+def kinds(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features with repeats, and the text each is in, one kind after the other."""
     h = words.hash
-    pairs = windows_hash(h, 2)
-    skips = mix(h[:-2] * U64(3) + mix(h[2:])) if len(h) > 2 else h[:0]
+    text = np.repeat(np.arange(len(words)), np.diff(words.first))
     shift = U64(64 - FEATURE_BITS)
-    for _, a, b in words.bounds():
-        yield np.unique(np.concatenate([h[a:b], pairs[a : max(a, b - 1)], skips[a : max(a, b - 2)]]) >> shift)
+    yield h >> shift, text
+    for reach in (1, 2):
+        at = np.flatnonzero(text[reach:] == text[:-reach])
+        two = windows_hash(h, 2)[at] if reach == 1 else mix(h[at] * U64(3) + mix(h[at + 2]))
+        yield two >> shift, text[at]
+    folded = words.split.folded[words.raw]
+    for n in STEMS:
+        at = np.flatnonzero(words.end - words.start > n)
+        stem = bytes_hash(folded, words.start[at], words.start[at] + n)
+        yield mix(stem + U64(n)) >> shift, text[at]
+
+
+def features(words: Words) -> Iterator[np.ndarray]:
+    """The distinct features of each text."""
+    found, text = map(np.concatenate, zip(*kinds(words)))
+    order = np.lexsort((found, text))
+    found, text = found[order], text[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
+    found, text = found[new], text[new]
+    yield from np.split(found, np.searchsorted(text, np.arange(1, len(words)))) if len(words) else ()
 
 
 def ftrl(rows: list[np.ndarray], labels: np.ndarray, size: int, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     """Weights of ``size`` features, and the bias, after some rounds over the rows.
 
-    A row lists the features it has. The bias is not penalised.
+    A row lists the features it has. The bias is not penalised. A row of label 1 moves them
+    ``TOXIC_WEIGHT`` times as much.
     """
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     penalty = np.full(size + 1, L1)
@@ -62,6 +81,7 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, size: int, epochs: int = EP
             at = rows[i]
             w = weight(at)
             slope = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - labels[i]
+            slope *= TOXIC_WEIGHT if labels[i] else 1
             root = np.sqrt(n[at])
             n[at] += slope * slope
             z[at] += slope - (np.sqrt(n[at]) - root) / ALPHA * w
@@ -69,22 +89,30 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, size: int, epochs: int = EP
     return w[:size], float(w[size])
 
 
+def reachable(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+    """Which features can get a weight at all.
+
+    Until a feature has one, its slopes add up, each at most 1, or ``TOXIC_WEIGHT`` with label 1.
+    A sum that cannot exceed L1 keeps the weight at 0, so leaving such features out changes nothing.
+    """
+    most = np.zeros((2, size))
+    for own, label in zip(rows, labels):
+        most[int(label), own] += EPOCHS * (TOXIC_WEIGHT if label else 1)
+    return most.max(axis=0) > L1
+
+
 def _fit(sample: pd.DataFrame) -> pd.DataFrame:
     # The rows' order must not depend on how they arrived.
     sample = sample.sort_values(["id", "body"], kind="stable")
     rows = [f for words in split_words(pa.array(sample["body"], pa.large_string()), LOWER_ALNUM) for f in features(words)]
     labels = sample["toxic"].to_numpy(float)
-    distinct, count = np.unique(np.concatenate(rows), return_counts=True)
-    used = distinct[count >= LEAST_TEXTS]
-    compact = []
-    for f in rows:
-        at = np.searchsorted(used, f)
-        at[at == len(used)] = 0
-        compact.append(at[used[at] == f] if len(used) else at[:0])
-    weights, bias = ftrl(compact, labels, len(used))
+    distinct, code = np.unique(np.concatenate(rows), return_inverse=True)
+    rows = np.split(code, np.cumsum([len(r) for r in rows])[:-1])
+    used = reachable(rows, labels, len(distinct))
+    place = np.cumsum(used) - 1
+    weights, bias = ftrl([place[r[used[r]]] for r in rows], labels, int(used.sum()))
     kept = np.flatnonzero(weights)
-    kept = np.sort(kept[np.argsort(-np.abs(weights[kept]), kind="stable")][:MOST_WEIGHTS])
-    return pd.DataFrame({"feature": np.append(as_long(used[kept]), -1), "weight": np.append(weights[kept], bias)})
+    return pd.DataFrame({"feature": np.append(as_long(distinct[used][kept]), -1), "weight": np.append(weights[kept], bias)})
 
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -118,18 +146,11 @@ def _scorer(feature: np.ndarray, weight: np.ndarray, bias: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words in split_words(batch.column("body"), LOWER_ALNUM):
-                total = np.empty(len(words))
-                h = words.hash
-                pairs = windows_hash(h, 2)
-                skips = mix(h[:-2] * U64(3) + mix(h[2:])) if len(h) > 2 else h[:0]
                 found, whose = [], []
-                for kind, reach in ((h, 0), (pairs, 1), (skips, 2)):
-                    f = kind >> U64(64 - FEATURE_BITS)
+                for f, text in kinds(words):
                     at = np.flatnonzero(slots[(f & U64((1 << 20) - 1)).astype(np.int64)])
-                    text = np.searchsorted(words.first, at, "right") - 1
-                    inside = at + reach < words.first[text + 1]
-                    found.append(f[at[inside]])
-                    whose.append(text[inside])
+                    found.append(f[at])
+                    whose.append(text[at])
                 f, text = np.concatenate(found), np.concatenate(whose)
                 at = np.searchsorted(feature, f)
                 at[at == len(feature)] = 0
@@ -146,7 +167,7 @@ def _scorer(feature: np.ndarray, weight: np.ndarray, bias: float):
 def scored(docs: DataFrame, weights: DataFrame, doc: Column, text: str = "text") -> DataFrame:
     """Rows (doc, score): the probability that a text is toxic; NULL counts as empty.
 
-    Collects ``weights``, at most ``MOST_WEIGHTS`` rows and one.
+    Collects ``weights``, some hundred rows: each was earned in several texts of the sample.
     """
     rows = weights.orderBy("feature").toPandas()
     bias = rows.loc[rows["feature"] == -1, "weight"].sum() if len(rows) else -35.0

@@ -3,8 +3,8 @@
 Runs inside Spark's Arrow tasks. Texts are handled in blocks of about ``BLOCK`` bytes, so the
 arrays stay small however long a batch is; a single text may be longer than a block.
 
-A word's hash is a polynomial over its bytes modulo 2**64, scrambled at the end. Two words, or
-two word sequences, count as equal when their hashes are.
+Hashes mix after every step, so no pattern of bytes or words makes them collide: two words, or
+two word sequences, have one hash with a probability of 2**-64. They count as equal then.
 """
 
 from __future__ import annotations
@@ -15,11 +15,13 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK = 1 << 18
-BASE = np.uint64(0x9E3779B97F4A7C15)
-BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 U64 = np.uint64
+ODD = U64(0x9E3779B97F4A7C15)
+#: Bytes of a word above which it is hashed on its own.
+LONG = 64
 
 
 @dataclass(frozen=True)
@@ -27,16 +29,16 @@ class Split:
     """Which bytes separate words, and what each byte is hashed as."""
 
     separator: np.ndarray  # bool per byte value
-    folded: np.ndarray  # uint64 per byte value
+    folded: np.ndarray  # uint8 per byte value
 
 
 def _split(separators: bytes, lower: bool) -> Split:
     separator = np.zeros(256, bool)
     separator[list(separators)] = True
-    folded = np.arange(256, dtype=U64)
+    folded = np.arange(256, dtype=np.uint8)
     if lower:
-        folded[65:91] += U64(32)
-    return Split(separator, folded + U64(1))
+        folded[65:91] += 32
+    return Split(separator, folded)
 
 
 WHITE = b"\t\n\x0b\x0c\r "
@@ -56,36 +58,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_powers = np.ones(1, U64)
-_inverses = np.ones(1, U64)
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse."""
-    global _powers, _inverses
-    if len(_powers) < n:
-        n = max(n, BLOCK + 1)
-        with np.errstate(over="ignore"):
-            steps = np.full(n, BASE, U64)
-            steps[0] = 1
-            _powers = np.cumprod(steps)
-            steps[1:] = BASE_INVERSE
-            _inverses = np.cumprod(steps)
-    return _powers, _inverses
+def bytes_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One hash for each range [start, end) of bytes, taken in eight at a time."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    length = end - start
+    out = mix(length.astype(U64) + ODD)
+    rest, done = np.flatnonzero((length > 0) & (length <= LONG)), 0
+    while len(rest):
+        left = length[rest] - done
+        part = eight[start[rest] + done] & _FIRST_BYTES[np.minimum(left, 8)]
+        out[rest] = mix(out[rest] * ODD + part)
+        rest, done = rest[left > 8], done + 8
+    for i in np.flatnonzero(length > LONG):
+        out[i] = xxhash.xxh3_64_intdigest(padded[start[i] : end[i]])
+    return out
+
+
+def _join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(mix(left * ODD + U64(1)) + right)
 
 
 def spans_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """One hash for each range [start, end) of ``values``, whatever its place."""
-    forth, back = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * forth[: len(values)], out=total[1:])
-    return mix((total[end] - total[start]) * back[start] + (end - start).astype(U64))
+    """One hash for each range [start, end) of 64-bit ``values``, whatever its place.
+
+    Hashes of 2, 4, 8 … values are joined from halves; a range joins the two of the largest
+    such size that cover it.
+    """
+    length = end - start
+    out = mix(length.astype(U64) + ODD)
+    level, size, longest = values, 1, int(length.max(initial=0))
+    while size <= longest:
+        own = np.flatnonzero((length >= size) & (length < 2 * size))
+        out[own] = _join(out[own], _join(level[start[own]], level[end[own] - size]))
+        if 2 * size <= longest:
+            level = _join(level[:-size], level[size:])
+        size *= 2
+    return out
 
 
 def windows_hash(values: np.ndarray, width: int) -> np.ndarray:
     """The hash of the ``width`` values from each place; one for each place where they fit."""
-    n = max(0, len(values) - width + 1)
-    start = np.arange(n)
+    start = np.arange(max(0, len(values) - width + 1))
     return spans_hash(values, start, start + width)
 
 
@@ -103,7 +120,7 @@ class Words:
 
     @cached_property
     def hash(self) -> np.ndarray:
-        return spans_hash(self.split.folded[self.raw], self.start, self.end)
+        return bytes_hash(self.split.folded[self.raw], self.start, self.end)
 
     def __len__(self) -> int:
         return len(self.first) - 1

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -62,7 +63,35 @@ def test_search_on_long_units(vocabulary):
     score, loss, ids, _ = vocabulary.best(np.frombuffer(unit, np.uint8), at)
     found = vocabulary.search(unit, 2)
     assert len(unit) > short and score[0] == found[0][0] and loss[0] == found[0][0] - found[1][0]
-    assert len(ids) == len(found[0][1]) or loss[0] == 0
+    assert ids.tolist() == found[0][1]
+
+
+def test_long_runs_take_linear_time(vocabulary):
+    for run in (b"x" * 20_000, b"xy" * 10_000, b"=" * 20_000, b"ab" * 10_000):
+        start = time.perf_counter()
+        found = vocabulary.search(run, 3)
+        assert time.perf_counter() - start < 3
+        assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True) and len(found) == 3
+        assert len({tuple(ids) for _, ids in found}) == 3
+
+
+def test_length_of_a_unit_changes_nothing(vocabulary, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abx=-é") for _ in range(rng.randrange(1, 150))).encode() for _ in range(40)]
+    want = list(nbest.Segmenter(PATH, 3).texts(texts))
+    for short in (0, 10, 1000):
+        monkeypatch.setattr(nbest, "SHORT", short)
+        got = list(nbest.Segmenter(PATH, 3).texts(texts))
+        assert [[(s, ids.tolist()) for s, ids in f] for f in got] == [[(s, ids.tolist()) for s, ids in f] for f in want]
+
+
+def test_unfit_models_are_refused(monkeypatch):
+    import sentencepiece
+
+    real = sentencepiece.SentencePieceProcessor.id_to_piece
+    monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "id_to_piece", lambda self, i: "a▁b" if i == 500 else real(self, i))
+    with pytest.raises(ValueError, match="border"):
+        nbest.Vocabulary(PATH)
 
 
 def test_query(spark):

@@ -37,6 +37,9 @@ def test_toxicity(spark, stages):
     kept = {r.doc_id for r in after.collect()}
     clean = [i for i, toxic in labels.items() if not toxic]
     assert sum(i in kept for i in clean) >= 0.98 * len(clean)
+    named = re.compile(r"\b(trash|pathetic|idiot|worthless|disgusting|stupid|clown|scum|loser|moron)\b", re.I)
+    insulting = {r.doc_id for r in before.collect() if len(named.findall(r.text or "")) >= 3}
+    assert len(insulting) > 5 and len(insulting & kept) <= 0.2 * len(insulting)
     assert {tuple(r) for r in after.collect()} <= {tuple(r) for r in before.collect()}
 
 

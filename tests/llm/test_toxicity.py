@@ -1,10 +1,14 @@
 """Toxicity: held-out accuracy, the learning rule, and edge cases."""
 
 import math
+import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from brute import documents, edge_cases
+import pytest
+from brute import UPPER, documents, edge_cases
 from pyspark.sql import functions as F
 
 from spendscope.llm import toxicity
@@ -12,11 +16,15 @@ from spendscope.llm.queries import op9_toxicity
 from spendscope.llm.words import LOWER_ALNUM, split_words
 
 
-def test_held_out_accuracy(spark):
-    sf = "/root/testdata/sf0.1"
+@pytest.mark.parametrize("sf, accuracy, recall", [("sf0.01", 0.9, 0.5), ("sf0.1", 0.98, 0.9)])
+def test_held_out_accuracy(spark, sf, accuracy, recall):
+    sf = f"/root/testdata/{sf}"
     scored = op9_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas()
-    assert len(scored) > 500
-    assert (scored["predicted"] == scored["toxic"]).mean() > 0.98
+    right = scored["predicted"] == scored["toxic"]
+    assert right.mean() > accuracy
+    # Some toxic labels stand on texts that say nothing toxic; all others must be found.
+    assert right[scored["toxic"] == 1].mean() >= recall
+    assert right[scored["toxic"] == 0].mean() > 0.95
     assert scored["score"].between(0, 1).all()
 
 
@@ -33,7 +41,7 @@ def test_ftrl_against_single_coordinates():
                 l1 = toxicity.L1 if j < 40 else 0
                 rate = (toxicity.BETA + math.sqrt(n[j])) / toxicity.ALPHA + toxicity.L2
                 w[j] = 0 if abs(z[j]) <= l1 else -(z[j] - math.copysign(l1, z[j])) / rate
-            g = 1 / (1 + math.exp(-sum(w[j] for j in own))) - labels[i]
+            g = (1 / (1 + math.exp(-sum(w[j] for j in own))) - labels[i]) * (toxicity.TOXIC_WEIGHT if labels[i] else 1)
             for j in own:
                 s = (math.sqrt(n[j] + g * g) - math.sqrt(n[j])) / toxicity.ALPHA
                 z[j] += g - s * w[j]
@@ -43,14 +51,63 @@ def test_ftrl_against_single_coordinates():
         rate = (toxicity.BETA + math.sqrt(n[j])) / toxicity.ALPHA + toxicity.L2
         w[j] = 0 if abs(z[j]) <= l1 else -(z[j] - math.copysign(l1, z[j])) / rate
     assert np.allclose(np.append(weights, bias), w)
-    assert np.argmax(weights) == 3 and (weights == 0).sum() > 5
+    assert np.argmax(weights) == 3 and (weights == 0).sum() > 1
+
+
+def named_features(text):
+    words = re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text.translate(UPPER))
+    pairs = {("two", *p) for p in zip(words, words[1:])} | {("skip", *p) for p in zip(words, words[2:])}
+    stems = {("stem", n, w.encode()[:n]) for w in words for n in toxicity.STEMS if len(w.encode()) > n}
+    return set(words) | pairs | stems
 
 
 def test_features():
-    texts = ["", "One", "one, two", "one two three one two"]
+    texts = ["", "One", "one, two", "one two three one two", "übergrößen Übergrößen", " ", "z"]
     got = [len(f) for words in split_words(pa.array(texts), LOWER_ALNUM) for f in toxicity.features(words)]
-    # Words, pairs (one two, two three, three one), skips (one _ three, two _ one, three _ two).
-    assert got == [0, 1, 3, 3 + 3 + 3]
+    assert got == [len(named_features(t)) for t in texts]
+
+
+def test_scores_against_plain_python(spark):
+    """Fit and score with a dictionary of named features, none left out."""
+    rng = random.Random(3)
+    bad = ["scum", "loserish", "losers", "trash"]
+    rows = []
+    for i in range(120):
+        words = [f"w{rng.randrange(60)}" for _ in range(rng.randrange(0, 25))]
+        if i % 3 == 0:
+            words.insert(rng.randrange(len(words) + 1), rng.choice(bad))
+        rows.append((i, " ".join(words)))
+    labels = {i: int(i % 3 == 0) for i in range(90)}
+    z, n = Counter(), Counter()
+
+    def weight(f):
+        l1 = 0 if f is None else toxicity.L1
+        if abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - math.copysign(l1, z[f])) / ((toxicity.BETA + math.sqrt(n[f])) / toxicity.ALPHA + toxicity.L2)
+
+    for turn in range(toxicity.EPOCHS):
+        for i in np.random.default_rng(turn).permutation(90):
+            own = [*named_features(rows[i][1]), None]
+            g = 1 / (1 + math.exp(-sum(weight(f) for f in own))) - labels[i]
+            g *= toxicity.TOXIC_WEIGHT if labels[i] else 1
+            w = {f: weight(f) for f in own}
+            for f in own:
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / toxicity.ALPHA * w[f]
+                n[f] += g * g
+    want = {i: 1 / (1 + math.exp(-sum(weight(f) for f in [*named_features(t), None]))) for i, t in rows}
+    taught = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    got = toxicity.toxicity(documents(spark, rows), taught, F.col("doc_id")).collect()
+    assert len(got) == 120 and all(abs(r.score - want[r.doc]) < 1e-9 for r in got)
+
+
+def test_left_out_features_have_no_weight(monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.zipf(1.3, 30) % 500) for _ in range(300)]
+    labels = np.array([float(7 in r) for r in rows])
+    used = toxicity.reachable(rows, labels, 500)
+    weights, _ = toxicity.ftrl(rows, labels, 500)
+    assert 0 < used.sum() < 500 and not weights[~used].any() and weights.any()
 
 
 def test_edge_cases(spark):
