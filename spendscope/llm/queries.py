@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscope.llm import chat, dedup, hyperminhash, licenses, nbest, packing, substrings, topk, toxicity, urls
+from spendscope.llm import chat, dedup, hyperminhash, licenses, nbest, packing, repair, substrings, suffixes, topk, toxicity, urls, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,10 +84,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cut = suffixes.without_earlier(docs, carry=("doc_id",), with_text=False)
+    return cut.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repairs(repair.damage(rows))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_exact_dedup, op3_url_filter, op4_topk_search, op5_packing, op6_near_dedup,
-        op7_license_scan, op8_nbest_pieces, op9_toxicity, op10_substring_dedup,
+        op7_license_scan, op8_nbest_pieces, op9_toxicity, op10_substring_dedup, op11_embedding_whitening,
+        op12_suffix_dedup, op13_conversation_repair,
     )
 }

@@ -131,7 +131,7 @@ class Words:
             yield self.row + i, self.first[i], self.first[i + 1]
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     texts = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).cast(pa.large_binary())
     if texts.null_count:
         texts = texts.fill_null(b"")
@@ -144,7 +144,7 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def split_words(texts: pa.Array, split: Split, block: int = BLOCK) -> Iterator[Words]:
     """The words of all texts, some texts at a time; NULL has none."""
-    data, at = _buffers(texts)
+    data, at = buffers(texts)
     row, rows = 0, len(at) - 1
     while row < rows:
         upto = max(row + 1, int(np.searchsorted(at, at[row] + block, "right")) - 1)

@@ -1,0 +1,122 @@
+"""Whitening against exact sums and plain double-precision eigenvectors."""
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from spendscope.llm import whitening
+from spendscope.llm.queries import op11_embedding_whitening
+from spendscope.llm.whitening import HIGH
+
+
+def plain(rows, components=4):
+    """Distinct vectors, deviations by id, whitened by id (up to sign), shares."""
+    clean = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = max(len(v) for _, v in clean)
+    clean = [(i, tuple(v) + (0,) * (width - len(v))) for i, v in clean]
+    fit = sorted({v for _, v in clean})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    off = np.array([[float(Fraction(n * x - s, n)) for x, s in zip(v, sums)] for v in fit])
+    values, vectors = np.linalg.eigh(off.T @ off / n)
+    values, vectors = values[::-1][:components], vectors[:, ::-1][:, :components]
+    deviation = [sum((n * x - s) ** 2 for x, s in zip(v, sums)) for _, v in clean]
+    own = np.array([[float(Fraction(n * x - s, n)) for x, s in zip(v, sums)] for _, v in clean])
+    return n, deviation, own @ vectors / np.sqrt(values), values / np.trace(off.T @ off / n), [i for i, _ in clean]
+
+
+def compare(got, rows, components=4):
+    n, deviation, white, share, ids = plain(rows, components)
+    keep = white.shape[1]
+    assert len(got) == len(ids) * keep
+    assert all(r.n == n and 0 <= r.identity_error < 1e-9 for r in got)
+    assert sorted((repr(r.id), r.deviation) for r in got) == sorted((repr(i), d) for i, d in zip(ids, deviation) for _ in range(keep))
+    for c in range(keep):
+        own = sorted((repr(r.id), r.whitened) for r in got if r.component == c + 1)
+        for sign in (1, -1):
+            want = sorted((repr(i), sign * w) for i, w in zip(ids, white[:, c]))
+            if np.allclose([w for _, w in own], [w for _, w in want], rtol=1e-9, atol=1e-9):
+                break
+        else:
+            raise AssertionError(f"component {c + 1}")
+        assert all(abs(r.explained - share[c]) < 1e-9 for r in got if r.component == c + 1)
+
+
+def table(spark, rows, parts=4):
+    full = [(i, v, 1, 2.0, "x") for i, v in rows]
+    return spark.createDataFrame(full, "vec_id long, embedding array<double>, n int, x double, width string").repartition(parts)
+
+
+def test_against_plain_numpy(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, (rng.normal(0, 0.3, 12) * np.linspace(2, 0.5, 12) + 0.1).tolist()) for i in range(400)]
+    rows += [(500 + i, rows[7][1]) for i in range(150)]  # a common vector counts once
+    rows += [(700, None), (701, [None] * 12), (702, [float("nan")] * 12), (703, [float("inf")] + [0.0] * 11), (704, [0.5, -0.25]), (705, [])]
+    rows += [(None, rows[0][1]), (None, rows[1][1]), (3, rows[3][1]), (706, [-0.0] * 12)]
+    compare(whitening.whiten(table(spark, rows)).collect(), rows)
+    again = [whitening.whiten(table(spark, rows, p)).collect() for p in (1, 9)]
+    assert sorted(map(repr, again[0])) == sorted(map(repr, again[1]))
+
+
+def test_few_dimensions_and_no_variance(spark):
+    rows = [(1, [0.5, 1.0]), (2, [0.25, 3.0]), (3, [1.0, -1.0])]
+    compare(whitening.whiten(table(spark, rows)).collect(), rows)
+    same = whitening.whiten(table(spark, [(1, [0.5, 1.0]), (2, [0.5, 1.0])])).collect()
+    assert [(r.component, r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in sorted(same, key=lambda r: (r.id, r.component))] == [
+        (1, 1, 0, None, 0.0, None), (2, 1, 0, None, 0.0, None)] * 2
+    line = whitening.whiten(table(spark, [(i, [i / 4, i / 2, 0.0]) for i in range(9)])).collect()
+    assert {(r.component, r.whitened is None) for r in line} == {(1, False), (2, True), (3, True)}
+    assert max(r.identity_error for r in line) < 1e-12 and abs(line[0].explained - 1) < 1e-12
+
+
+def test_large_entries(spark):
+    rows = [(i, [float(i) * 1e9, float(i * i), -3.5]) for i in range(20)]
+    n, deviation, white, share, ids = plain(rows, 1)
+    got = {r.id: r for r in whitening.whiten(table(spark, rows), components=1).collect()}
+    assert [got[i].deviation for i in ids] == [d if d < 1 << 63 else None for d in deviation]
+    assert np.allclose(np.abs([got[i].whitened for i in ids]), np.abs(white[:, 0]))
+
+
+def test_nothing(spark):
+    for rows in ([], [(1, None)], [(1, [])], [(1, [float("nan")])]):
+        got = whitening.whiten(table(spark, rows, 1))
+        assert got.columns == ["id", "component", "n", "deviation", "whitened", "explained", "identity_error"] and got.count() == 0
+
+
+def test_product_is_exact_to_high_precision():
+    rng = np.random.default_rng(3)
+    a, b = (rng.normal(size=s).astype(HIGH) + rng.normal(size=s).astype(HIGH) * HIGH(2) ** -55 for s in ((30, 40), (40, 20)))
+    exact = a @ b
+    assert np.abs(whitening.product(a, b) - exact).max() <= 64 * np.finfo(HIGH).eps * np.abs(exact).max()
+
+
+@pytest.mark.parametrize("values", [
+    np.linspace(1, 9, 24), [5] * 24, [7, 7, 7, 3, 3, 2, 1, 1, 1, 1] + [0] * 14,
+    [5, 5 + 1e-13, 5 - 1e-13, 5 + 1e-9, 5 + 1e-7, 3, 3 + 1e-12] + list(np.linspace(0.1, 0.9, 17)),
+])
+def test_eigenvectors(values):
+    rng = np.random.default_rng(5)
+    q = np.linalg.qr(rng.normal(size=(24, 24)))[0].astype(HIGH)
+    for _ in range(3):  # a more orthogonal one
+        q = q @ (3 * np.eye(24, dtype=HIGH) - q.T @ q) / 2
+    a = (q * np.array(values, HIGH)) @ q.T
+    a = (a + a.T) / 2
+    for scale in (1, HIGH(10) ** 30, HIGH(10) ** -30):
+        w, x = whitening.eigen(a * scale)
+        assert np.abs(x.T @ x - np.eye(24)).max() < 1e-18 * 24
+        assert np.abs(a @ x - x * (w / scale)).max() < 1e-17 * 24
+        assert np.allclose((w / scale).astype(float), sorted(values, reverse=True), rtol=0, atol=1e-15)
+
+
+def test_squares_are_exact():
+    rng = np.random.default_rng(7)
+    for largest in (3, 10**6, 10**8, 10**15):
+        x = rng.integers(-largest, largest, (50, 4))
+        assert (whitening.squares(x) == x.astype(object).T @ x.astype(object)).all()
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    compare(op11_embedding_whitening(spark, sf).withColumnRenamed("vec_id", "id").collect(), rows)
