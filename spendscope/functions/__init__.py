@@ -1,10 +1,13 @@
 from spendscope.functions.expressions import (
+    DISTANCE_DECIMALS,
     MICROS,
     amount_bin,
     day_of_week,
     epoch_micros,
     epoch_seconds,
     exact_amount,
+    exact_deviation,
+    exact_mean,
     exact_span_days,
     guarded_rate,
     is_local,
@@ -14,16 +17,20 @@ from spendscope.functions.expressions import (
     planar_km,
     ratio,
     total,
+    units,
     whole_span_days,
 )
 
 __all__ = [
+    "DISTANCE_DECIMALS",
     "MICROS",
     "amount_bin",
     "day_of_week",
     "epoch_micros",
     "epoch_seconds",
     "exact_amount",
+    "exact_deviation",
+    "exact_mean",
     "exact_span_days",
     "guarded_rate",
     "is_local",
@@ -33,5 +40,6 @@ __all__ = [
     "planar_km",
     "ratio",
     "total",
+    "units",
     "whole_span_days",
 ]

@@ -102,3 +102,51 @@ def mean(amt: Column, decimals: int | None = None) -> Column:
     if decimals is None:
         return F.avg(amt)
     return F.try_divide(total(amt, decimals), F.count(amt))
+
+
+#: Decimals that distances are rounded to where their sums must not depend on the order of addition.
+DISTANCE_DECIMALS = 11
+
+
+def units(x: Column, decimals: int) -> Column:
+    """A number as whole units of its last decimal; NULL if it doesn't fit 18 digits."""
+    return F.round(x.cast("double") * float(10**decimals)).try_cast("decimal(18,0)")
+
+
+def exact_mean(x: Column, decimals: int | None) -> Column:
+    """The mean of whole units, the same in whatever order they are added; plain without ``decimals``.
+
+    Numbers that don't fit 18 digits, or sums beyond 38, fall back to the plain mean.
+    """
+    if decimals is None:
+        return F.avg(x)
+    own = units(x, decimals)
+    average = F.try_divide(F.try_sum(own).cast("double"), F.count(own)) / float(10**decimals)
+    return F.when(F.count(own) == F.count(x), F.coalesce(average, F.avg(x))).otherwise(F.avg(x))
+
+
+def exact_deviation(x: Column, decimals: int | None, weight: Column | None = None) -> Column:
+    """The sample deviation from exact sums of whole units and of their squares, NULL below two numbers.
+
+    Both sums can be merged in any order and grouping without changing a bit. The squares are
+    those from a whole number next to the mean, in whole numbers too, so nothing cancels out.
+    ``weight`` says how often a row counts. Where ``exact_mean`` falls back, so does this (without
+    ``weight``; with it the result is NULL then).
+    """
+    if decimals is None:
+        return F.stddev_samp(x)
+    own, whole = units(x, decimals), "decimal(38,0)"
+    times = F.lit(1) if weight is None else weight
+    rows, fit = (F.sum(F.when(c.isNotNull(), times)) for c in (x, own))
+    n = fit.cast(whole)
+    first = F.try_sum(own if weight is None else own * times).cast(whole)
+    second = F.try_sum(own * own if weight is None else (own * own).cast(whole) * times).cast(whole)
+    near = F.round(F.try_divide(first.cast("double"), fit.cast("double"))).try_cast("decimal(18,0)").cast(whole)
+    off = F.try_subtract(first, F.try_multiply(n, near))
+    squares = F.try_add(F.try_subtract(second, F.try_multiply(F.try_multiply(near, first), F.lit(2))), F.try_multiply(n, F.try_multiply(near, near)))
+    centred = squares.cast("double") - off.cast("double") * off.cast("double") / fit
+    found = F.when(fit > 1, F.sqrt(F.greatest(F.lit(0.0), centred) / (fit - 1)) / float(10**decimals))
+    if weight is not None:
+        return F.when(rows == fit, found)
+    exact = (rows == fit) & squares.isNotNull()
+    return F.when(exact, found).otherwise(F.stddev_samp(x))

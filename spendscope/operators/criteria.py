@@ -12,6 +12,7 @@ from spendscope.operators.gaps import burst_users, window_burst_users
 from spendscope.operators.joins import attach
 from spendscope.operators.profiles import user_profiles
 from spendscope.operators.quantiles import exact_quantile
+from spendscope.operators.sketches import sketched_quantile, value_sketches
 from spendscope.params import Params
 from spendscope.session import stored
 
@@ -29,11 +30,14 @@ def amount_threshold(
 
     It stays in the plan, where the criteria read it as a scalar subquery; no values give NULL.
     """
+    rows, value = profiles, "avg_transaction"
     if params.amount_population == "transactions":
         if df is None:
             raise ValueError("the transactions are needed for amount_population='transactions'")
-        return exact_quantile(df, "amt", params.amount_quantile, method=params.amount_method)
-    return exact_quantile(profiles, "avg_transaction", params.amount_quantile, method=params.amount_method)
+        rows, value = df, "amt"
+    if params.amount_method == "sketch":
+        return sketched_quantile(value_sketches(rows, value), params.amount_quantile)
+    return exact_quantile(rows, value, params.amount_quantile, method=params.amount_method)
 
 
 def high_amount(profiles: DataFrame, df: DataFrame | None = None, params: Params = Params()) -> DataFrame:

@@ -1,8 +1,8 @@
 """Time between a user's successive transactions.
 
-All users take the same way, however many rows they have. Rows are grouped into instants, cells
-or chunks first, with partial aggregation on the map side, so the size of a sort, where there
-is one, is set by the time range covered and not by a user's rows.
+All users take the same way, however many rows they have. Counts group rows into cells of time
+first, with partial aggregation on the map side. Gaps per row range-partition the rows by user
+and time, and each partition takes over the last time of the user it continues.
 """
 
 from __future__ import annotations
@@ -11,11 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendscope.functions import MICROS, epoch_micros, epoch_seconds, is_local
-from spendscope.operators.joins import attach
 from spendscope.params import Params
+from spendscope.session import stored
 
 TIME = "trans_date_trans_time"
-CHUNK_SECONDS = 60
 
 
 def _cell(t: Column, width: int) -> Column:
@@ -98,30 +97,27 @@ def window_burst_users(df: DataFrame, params: Params = Params()) -> DataFrame:
     return full.union(across).distinct()
 
 
-def first_transactions(df: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Per user and instant: the first transaction at it, and the user's instant before it.
+def user_time_ranges(df: DataFrame) -> DataFrame:
+    """The rows range-partitioned by user, time and transaction, as a scratch table; this runs a job.
 
-    A NULL ``trans_num`` is first, then the smallest. Instants are ordered within chunks; a
-    chunk's first one takes the last one of the user's previous chunk, found on a table of one
-    row per user and chunk.
+    ``__part`` numbers the partitions in that order, ``__row`` the rows in any order. As the row number
+    takes part in the ranges, neither a heavy user, nor an instant, nor missing times, nor copies
+    of one transaction fill a partition.
     """
-    ts, local = F.col(TIME), is_local(df, TIME)
-    instants = (
-        df.where(ts.isNotNull())
-        .groupBy("cc_num", TIME)
-        # A struct, so that NULL takes part.
-        .agg(F.min(F.struct("trans_num")).alias("first"))
-        .withColumn("chunk", _cell(epoch_seconds(ts, local), chunk_seconds))
-    )
-    # Using both columns lets this share the aggregate above instead of reading the rows again.
-    ends = instants.groupBy("cc_num", "chunk").agg(F.max(F.struct(TIME, "first"))[TIME].alias("end"))
-    before = ends.select(
-        "cc_num", "chunk", F.lag("end").over(Window.partitionBy("cc_num").orderBy("chunk")).alias("before_chunk")
-    )
-    within = F.lag(TIME).over(Window.partitionBy("cc_num", "chunk").orderBy(TIME))
-    placed = attach(instants.withColumn("within", within), before, ["cc_num", "chunk"])
-    previous = F.coalesce("within", "before_chunk").alias("previous_time")
-    return placed.select("cc_num", TIME, F.col("first.trans_num").alias("trans_num"), previous)
+    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange("cc_num", TIME, "trans_num", "__row")
+    return stored(ranged.withColumn("__part", F.spark_partition_id()), "user-time-ranges")
+
+
+def carried_times(ranges: DataFrame) -> DataFrame:
+    """Rows (cc_num, __part, carried): the user's last time before the partition, where there is one.
+
+    Only the first user of a partition can have rows in an earlier one, so there are fewer rows
+    than partitions, whatever the number of users.
+    """
+    ends = ranges.where(F.col(TIME).isNotNull()).groupBy("cc_num", "__part").agg(F.max(TIME).alias("end"))
+    earlier = Window.partitionBy("cc_num").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    return ends.select("cc_num", "__part", F.max("end").over(earlier).alias("carried")).where(F.col("carried").isNotNull())
 
 
 def with_gaps(df: DataFrame, params: Params = Params()) -> DataFrame:
@@ -132,20 +128,21 @@ def with_gaps(df: DataFrame, params: Params = Params()) -> DataFrame:
     is any one of them. The first row of a user and rows without a time have NULL. Seconds are
     whole by default; ``gap='exact'`` gives a fraction.
 
-    Rows meet their gap by user, time and transaction, so neither a heavy user, nor an instant,
-    nor missing times gather rows in one task; only copies of one transaction do.
+    Rows are written in ranges of user and time. Within a range a row follows the one before;
+    the first row of a range takes the time carried from earlier ranges.
     """
     ts, local, exact = F.col(TIME), is_local(df, TIME), params.gap == "exact"
-    key = ["cc_num", TIME, "trans_num"]
 
     def since(previous: Column) -> Column:
         if exact:
             return (epoch_micros(ts, local) - epoch_micros(previous, local)) / F.lit(float(MICROS))
         return epoch_seconds(ts, local) - epoch_seconds(previous, local)
 
-    first = first_transactions(df).withColumn("is_first", F.lit(True))
-    joined = attach(df, first, key).withColumn("copy", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
-    same_time = F.lit(0.0) if exact else F.lit(0).cast("bigint")
-    shows = F.col("is_first") & (F.col("copy") == 1)
-    gap = F.when(ts.isNull(), None).when(shows, since(F.col("previous_time"))).otherwise(same_time)
-    return joined.withColumn("time_diff", gap).drop("previous_time", "is_first", "copy")
+    ranges = user_time_ranges(df)
+    order = Window.partitionBy("cc_num", "__part").orderBy(TIME, "trans_num", "__row")
+    placed = ranges.withColumn("within", F.lag(TIME).over(order))
+    # One row per partition at most: it goes to every task.
+    carried = F.broadcast(carried_times(ranges).withColumnsRenamed({"cc_num": "__user", "__part": "__from"}))
+    joined = placed.join(carried, F.col("cc_num").eqNullSafe(F.col("__user")) & (F.col("__part") == F.col("__from")), "left")
+    gap = F.when(ts.isNotNull(), since(F.coalesce("within", "carried")))
+    return joined.select(*df.columns, gap.alias("time_diff"))

@@ -10,10 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendscope.functions import exact_span_days, guarded_rate, is_local, mean, total, whole_span_days
+from spendscope.functions import (
+    DISTANCE_DECIMALS,
+    exact_deviation,
+    exact_mean,
+    exact_span_days,
+    guarded_rate,
+    is_local,
+    mean,
+    total,
+    whole_span_days,
+)
 from spendscope.operators.joins import attach
 from spendscope.operators.usertotals import user_dimension_totals
 from spendscope.params import Params
@@ -39,6 +49,16 @@ PROFILE_COLUMNS = (
 )
 
 
+def _distances(params: Params) -> list[Column]:
+    """Mean, largest and deviation of the distances; with exact sums if the amounts have them."""
+    km, decimals = F.col("geo_distance_km"), None if params.amount_decimals is None else DISTANCE_DECIMALS
+    return [
+        exact_mean(km, decimals).alias("avg_distance"),
+        F.max(km).alias("max_distance"),
+        exact_deviation(km, decimals).alias("std_distance"),
+    ]
+
+
 def user_totals(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Counts, amounts, activity span and rate per user: one shuffle, combined on the map side."""
     first, last = F.col("first_transaction"), F.col("last_transaction")
@@ -52,12 +72,10 @@ def user_totals(df: DataFrame, params: Params = Params()) -> DataFrame:
             F.count("trans_num").alias("total_transactions"),
             total(F.col("amt"), params.amount_decimals).alias("total_spent"),
             mean(F.col("amt"), params.amount_decimals).alias("avg_transaction"),
-            F.stddev_samp("amt").alias("std_transaction"),
+            exact_deviation(F.col("amt"), params.amount_decimals).alias("std_transaction"),
             F.min("trans_date_trans_time").alias("first_transaction"),
             F.max("trans_date_trans_time").alias("last_transaction"),
-            F.avg("geo_distance_km").alias("avg_distance"),
-            F.max("geo_distance_km").alias("max_distance"),
-            F.stddev_samp("geo_distance_km").alias("std_distance"),
+            *_distances(params),
         )
         .withColumn("activity_span_days", span)
         .withColumns(
@@ -97,14 +115,18 @@ def user_profiles(
     params: Params = Params(),
     facets: Sequence[str] = FACETS,
     totals: DataFrame | None = None,
+    summed: DataFrame | None = None,
 ) -> DataFrame:
     """The whole profile; fewer ``facets`` leave their columns out and save the work.
 
-    ``totals`` are the ``user_dimension_totals`` of ``df`` if they are at hand.
+    ``totals`` are the ``user_dimension_totals`` and ``summed`` the ``user_totals`` of ``df`` if
+    they are at hand.
     """
     if totals is None:
         totals = user_dimension_totals(df, facets, params)
-    joined = attach(user_totals(df, params), user_facets(totals, facets), ["cc_num"])
+    if summed is None:
+        summed = user_totals(df, params)
+    joined = attach(summed, user_facets(totals, facets), ["cc_num"])
     return fill_deviations(joined).select(*(c for c in PROFILE_COLUMNS if c in joined.columns))
 
 
@@ -113,12 +135,8 @@ def fill_deviations(profiles: DataFrame) -> DataFrame:
     return profiles.na.fill(0, subset=[c for c in profiles.columns if "std" in c])
 
 
-def user_geo_stats(df: DataFrame) -> DataFrame:
-    return df.groupBy("cc_num").agg(
-        F.avg("geo_distance_km").alias("avg_distance"),
-        F.max("geo_distance_km").alias("max_distance"),
-        F.stddev_samp("geo_distance_km").alias("std_distance"),
-    )
+def user_geo_stats(df: DataFrame, params: Params = Params()) -> DataFrame:
+    return df.groupBy("cc_num").agg(*_distances(params))
 
 
 def user_hour_counts(df: DataFrame) -> DataFrame:

@@ -1,11 +1,10 @@
 """Exact quantiles that never gather a group in one task.
 
 The built-in exact percentile keeps every distinct value of a group in one buffer. Here the
-values are first counted. A histogram by order of magnitude then finds the bucket that holds
-the wanted rank, and histograms of equal-width buckets narrow it. Every step uses exact counts
-and has a bounded number of buckets per group. The first bucket is at most 2**44 neighbouring
-doubles wide and each of the ``ROUNDS`` steps divides it by 2**16, so the last one holds a
-single value whatever the distribution: values themselves are never ordered.
+values are counted and range-partitioned by group and value, the only shuffle they take, and
+written with the number of their partition. One small row per group and partition then tells
+which partition holds the wanted rank, and only that one is looked into. However many values a
+group has, they spread over partitions of equal size.
 """
 
 from __future__ import annotations
@@ -16,15 +15,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendscope.operators.joins import attach
-
-# Buckets of the first histogram per factor e: each is 0.4 % wide relative to its value.
-# Doubles span about 1,450 such factors on either side of 0, amounts of money about 20.
-PER_FACTOR = 256
-ZERO_OFFSET = 1_000_000
-BUCKETS = 1 << 16
-ROUNDS = 3
+from spendscope.session import stored
 
 _RANKS = ("low_rank", "high_rank", "weight")
+_OWN = ("__value", "__rows", "__part")
+
+
+def value_ranges(df: DataFrame, value: str, keys: Sequence[str] = (), count: str | None = None) -> DataFrame:
+    """The values in ranges, as a scratch table for ``range_quantile``; this runs a job.
+
+    Without ``count``, equal values of a group become one row first, on the map side, so a frequent
+    one is no burden. ``count`` names a column that says how often a row counts; then rows are
+    taken as they are, with all their columns, and each should stand for one value.
+    """
+    v = F.col(value).cast("double")
+    known = v.isNotNull() & ~F.isnan(v)
+    if count is None:
+        rows = df.select(*keys, v.alias("__value")).where(known).groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__rows"))
+    else:
+        # Rows without a value stay for their other columns, and count 0.
+        rows = df.withColumns({"__value": v, "__rows": F.when(known, F.col(count)).otherwise(0).cast("bigint")})
+    ranged = rows.repartitionByRange(*keys, "__value")
+    return stored(ranged.withColumn("__part", F.spark_partition_id()), "value-ranges")
+
+
+def range_quantile(
+    ranges: DataFrame, p: float, keys: Sequence[str] = (), method: str = "rank", name: str = "threshold"
+) -> DataFrame:
+    """One row per group with the ``p`` quantile of the values in ``value_ranges``."""
+    keys = list(keys)
+    sizes = ranges.groupBy(*keys, "__part").agg(F.sum("__rows").alias("rows"))
+    # One row per group and partition that it reaches.
+    by_group = Window.partitionBy(*keys)
+    upto, n = F.sum("rows").over(by_group.orderBy("__part")), F.sum("rows").over(by_group)
+    placed = sizes.select(*keys, "__part", (upto - F.col("rows")).alias("before"), upto.alias("upto"), *_ranks(n, p, method))
+    low, high = F.col("low_rank"), F.col("high_rank")
+    holding = placed.where(_holds(F.col("before"), F.col("upto"), low) | _holds(F.col("before"), F.col("upto"), high))
+    inside = attach(ranges.select(*keys, *_OWN), holding.drop("upto"), [*keys, "__part"], "inner")
+    within = Window.partitionBy(*keys, "__part").orderBy("__value").rowsBetween(Window.unboundedPreceding, 0)
+    after = F.col("before") + F.sum("__rows").over(within)
+    found = inside.withColumn("after", after).withColumn("ahead", F.col("after") - F.col("__rows"))
+    # Without keys and values, the aggregate still yields a row.
+    ends = found.groupBy(*keys).agg(
+        *(F.max(F.when(_holds(F.col("ahead"), F.col("after"), r), F.col("__value"))).alias(e) for e, r in (("low", low), ("high", high))),
+        F.first("weight").alias("weight"),
+    )
+    return ends.select(*keys, _blend(F.col("low"), F.col("high")).alias(name))
 
 
 def exact_quantile(
@@ -41,28 +77,14 @@ def exact_quantile(
     ``method='rank'`` takes the value at rank ceil(p * n); ``'interpolated'`` interpolates
     between the two values around position p * (n - 1). Without ``keys`` the result is one
     row, holding NULL when there are no values. Groups without values are absent. ``count``
-    names a column that says how often a row counts.
+    names a column that says how often a row counts. The values are written to a scratch table.
     """
-    keys = list(keys)
-    v = F.col(value).cast("double")
-    weight = F.col(count) if count else F.lit(1)
-    counted = (
-        df.select(*keys, v.alias("v"), weight.alias("w"))
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
-        .groupBy(*keys, "v")
-        .agg(F.sum("w").alias("w"))
-    )
-    histogram = _histogram(counted, keys, _magnitude(F.col("v")))
-    n = F.sum("w").over(Window.partitionBy(*keys))
-    found = _bucket(histogram.select("*", *_ranks(n, p, method)), keys, F.lit(0))
-    for _ in range(ROUNDS):
-        histogram = _histogram(_within(counted, found, keys), [*keys, *_RANKS, "before"], _equal_width())
-        found = _bucket(histogram, keys, F.col("before"))
-    if method == "rank":
-        return found.select(*keys, F.col("lo").alias(name))
-    # The value at the higher rank is the same one, or the next larger one there is.
-    above = _beyond(counted, found, keys)
-    return above.select(*keys, _blend(F.col("lo"), F.coalesce("next", "lo")).alias(name))
+    _ranks(F.lit(1), p, method)
+    return range_quantile(value_ranges(df, value, keys, count), p, keys, method, name)
+
+
+def _holds(before: Column, upto: Column, rank: Column) -> Column:
+    return (before < rank) & (rank <= upto)
 
 
 def _ranks(n: Column, p: float, method: str) -> list[Column]:
@@ -78,59 +100,6 @@ def _ranks(n: Column, p: float, method: str) -> list[Column]:
     return [c.alias(a) for c, a in zip((low, high, weight), _RANKS)]
 
 
-def _magnitude(v: Column) -> Column:
-    # The logarithm never decreases as its argument grows, so buckets never overlap.
-    step = F.floor(F.least(F.ln(F.abs(v)) * PER_FACTOR, F.lit(float(ZERO_OFFSET)))) + ZERO_OFFSET
-    return F.when(v == 0, 0).when(v > 0, step).otherwise(-step)
-
-
-def _equal_width() -> Column:
-    # Subtraction, division and floor keep the order of the values as well.
-    x = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BUCKETS
-    inner = F.when(F.isnan(x), BUCKETS - 1).otherwise(F.least(F.floor(x), F.lit(BUCKETS - 1)))
-    return F.when(F.col("lo") < F.col("hi"), inner).otherwise(0)
-
-
-def _histogram(counted: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
-    return counted.groupBy(*keys, bucket.alias("bucket")).agg(
-        F.sum("w").alias("w"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-
-
-def _bucket(histogram: DataFrame, keys: list[str], before: Column) -> DataFrame:
-    """The bucket that holds the lower rank, and the number of values below and up to it."""
-    upto = F.sum("w").over(Window.partitionBy(*keys).orderBy("bucket")) + before
-    return (
-        histogram.withColumn("upto", upto)
-        .withColumn("before", F.col("upto") - F.col("w"))
-        .where((F.col("upto") >= F.col("low_rank")) & (F.col("before") < F.col("low_rank")))
-        # One row is left; without keys and values, the aggregate still yields one.
-        .groupBy(*keys)
-        .agg(*(F.first(c).alias(c) for c in (*_RANKS, "before", "upto", "lo", "hi")))
-    )
-
-
-def _within(counted: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    inside = F.col("v").between(F.col("lo"), F.col("hi"))
-    if keys:
-        return attach(counted, found, keys, "inner").where(inside)
-    # The bucket is one row, the result of a global aggregate, and goes to every task.
-    return counted.join(F.broadcast(found), inside)
-
-
-def _beyond(counted: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """``found`` with ``next``, the smallest value above it."""
-    larger = F.col("v") > F.col("lo")
-    near = found.where(F.col("upto") < F.col("high_rank"))
-    if keys:
-        values = attach(counted, near.select(*keys, "lo"), keys, "inner").where(larger)
-        return attach(found, values.groupBy(*keys).agg(F.min("v").alias("next")), keys)
-    values = counted.join(F.broadcast(near.select("lo")), larger).agg(F.min("v").alias("next"))
-    # Two rows become one.
-    both = found.withColumn("next", F.lit(None).cast("double")).unionByName(values, allowMissingColumns=True)
-    return both.agg(*(F.max(c).alias(c) for c in both.columns))
-
-
 def _blend(low: Column, high: Column) -> Column:
     weight = F.col("weight")
     # At weight 0 the two ranks are the same one, and infinite values must not turn into NaN.

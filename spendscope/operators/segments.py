@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.functions import mean, percent
-from spendscope.operators.joins import attach
+from spendscope.operators.joins import attach, rows_of, rows_without
 from spendscope.operators.usertotals import user_dimension_totals
 from spendscope.params import Params
 
@@ -18,12 +18,13 @@ RATIO_EPSILON = 1e-6
 
 
 def interesting_transactions(df: DataFrame, users: DataFrame) -> DataFrame:
-    return df.join(users, "cc_num", "left_semi")
+    """The rows of ``users``; a set beyond the broadcast threshold is turned into a filter first."""
+    return rows_of(df, users, "cc_num")
 
 
 def normal_transactions(df: DataFrame, users: DataFrame) -> DataFrame:
     """All other rows; those without a user are among them."""
-    return df.join(users, "cc_num", "left_anti")
+    return rows_without(df, users, "cc_num")
 
 
 def segment_row_share(df: DataFrame, users: DataFrame) -> DataFrame:

@@ -4,23 +4,30 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendscope.functions import mean
+from spendscope.functions import DISTANCE_DECIMALS, exact_deviation, mean, units
 from spendscope.operators.joins import attach
-from spendscope.operators.quantiles import exact_quantile
+from spendscope.operators.quantiles import range_quantile, value_ranges
+from spendscope.operators.sketches import LG_K, estimate
 from spendscope.params import Params
 
 
+def _users(params: Params) -> Column:
+    if params.distinct == "exact":
+        return F.count_distinct("cc_num")
+    return estimate(F.hll_sketch_agg("cc_num", LG_K))
+
+
 def category_stats(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Transactions, users and average amount per category, most frequent first."""
     return (
         df.groupBy("category")
         .agg(
             F.count("trans_num").alias("total_transactions"),
-            F.count_distinct("cc_num").alias("unique_users"),
+            _users(params).alias("unique_users"),
             mean(F.col("amt"), params.amount_decimals).alias("avg_amount"),
         )
         .orderBy(F.desc("total_transactions"), F.asc("category"))
@@ -31,61 +38,74 @@ def category_stats_extended(df: DataFrame, params: Params = Params(), digits: in
     """``category_stats`` with median, standard deviation and mean distance, rounded half-even."""
     counts = df.groupBy("category").agg(
         F.count("trans_num").alias("total_transactions"),
-        F.count_distinct("cc_num").alias("unique_users"),
+        _users(params).alias("unique_users"),
         mean(F.col("amt"), params.amount_decimals).alias("avg_amount"),
     )
-    return extend_category_stats(counts, category_amounts(df), digits)
+    return extend_category_stats(counts, category_amounts(df, params), params, digits)
 
 
-def category_amounts(df: DataFrame) -> DataFrame:
+def category_amounts(df: DataFrame, params: Params = Params()) -> DataFrame:
     """How often each amount occurs in a category, with the distances: small for amounts of money.
 
-    It is what the median, the deviation and the mean distance are made of.
+    It is what the median, the deviation and the mean distance are made of. With exact sums
+    distances are added up in whole units.
     """
+    distance = F.col("geo_distance_km")
+    if params.amount_decimals is not None:
+        distance = units(distance, DISTANCE_DECIMALS)
     return df.groupBy("category", F.col("amt").cast("double").alias("amt")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("geo_distance_km").alias("distance"), F.count("geo_distance_km").alias("distances")
+        F.count(F.lit(1)).alias("n"), F.sum(distance).alias("distance"), F.count(distance).alias("distances")
     )
 
 
-def extend_category_stats(counts: DataFrame, amounts: DataFrame, digits: int = 4) -> DataFrame:
+def extend_category_stats(
+    counts: DataFrame, amounts: DataFrame, params: Params = Params(), digits: int = 4
+) -> DataFrame:
     """``category_stats`` with the columns that ``category_amounts`` adds, rounded half-even.
 
-    The deviation is that of the amounts from their mean, added up in one pass over the counts.
+    The amounts are written once, in ranges; median, deviation and mean distance start from there.
+    With exact sums the deviation is one aggregate; else it is that of the amounts from their
+    mean, added up in one more pass over the counts.
     """
-    n, known = F.col("n"), F.col("amt").isNotNull()
-    weight = F.when(known, n)
-    means = amounts.groupBy("category").agg(
-        F.try_divide(F.sum(F.col("amt") * n), F.sum(weight)).alias("mean_amount"),
-        F.sum(weight).alias("known"),
-        F.try_divide(F.sum("distance"), F.sum("distances")).alias("avg_distance"),
-    )
+    ranges = value_ranges(amounts, "amt", ["category"], count="n")
+    distance = F.try_divide(F.sum("distance").cast("double"), F.sum("distances"))
+    if params.amount_decimals is not None:
+        deviation = exact_deviation(F.col("amt"), params.amount_decimals, F.col("n")).alias("std_amount")
+        scale = float(10**DISTANCE_DECIMALS)
+        more = ranges.groupBy("category").agg((distance / scale).alias("avg_distance"), deviation)
+    else:
+        more = _centred_deviation(ranges, ranges.groupBy("category").agg(distance.alias("avg_distance"), *_weighted_mean()))
+    median = range_quantile(ranges, 0.5, ["category"], "interpolated", "median_amount")
+    joined = attach(attach(counts, more, ["category"]), median, ["category"])
+    rounded = ("avg_amount", "median_amount", "std_amount", "avg_distance")
+    return joined.select(
+        "category",
+        "total_transactions",
+        "unique_users",
+        *(F.bround(c, digits).alias(c) for c in rounded),
+    ).orderBy(F.desc("total_transactions"), F.asc("category"))
+
+
+def _weighted_mean() -> list[Column]:
+    weight = F.when(F.col("amt").isNotNull(), F.col("n"))
+    mean_amount = F.try_divide(F.sum(F.col("amt") * F.col("n")), F.sum(weight))
+    return [mean_amount.alias("mean_amount"), F.sum(weight).alias("known")]
+
+
+def _centred_deviation(amounts: DataFrame, means: DataFrame) -> DataFrame:
     off = F.col("amt") - F.col("mean_amount")
     squares = attach(amounts, means.select("category", "mean_amount"), ["category"]).groupBy("category").agg(
-        F.sum(off * off * n).alias("squares")
+        F.sum(off * off * F.col("n")).alias("squares")
     )
-    median = exact_quantile(amounts, "amt", 0.5, ["category"], "interpolated", "median_amount", count="n")
-    joined = counts
-    for more in (means, squares, median):
-        joined = attach(joined, more, ["category"])
     deviation = F.when(F.col("known") > 1, F.sqrt(F.col("squares") / (F.col("known") - 1)))
-    rounded = ("avg_amount", "median_amount", "std_amount", "avg_distance")
-    return (
-        joined.withColumn("std_amount", deviation)
-        .select(
-            "category",
-            "total_transactions",
-            "unique_users",
-            *(F.bround(c, digits).alias(c) for c in rounded),
-        )
-        .orderBy(F.desc("total_transactions"), F.asc("category"))
-    )
+    return attach(means, squares, ["category"]).select("category", "avg_distance", deviation.alias("std_amount"))
 
 
 def hourly_stats(df: DataFrame, params: Params = Params()) -> DataFrame:
     return df.groupBy("hour").agg(
         F.count("trans_num").alias("transaction_count"),
         mean(F.col("amt"), params.amount_decimals).alias("avg_amount"),
-        F.count_distinct("cc_num").alias("unique_users"),
+        _users(params).alias("unique_users"),
     )
 
 

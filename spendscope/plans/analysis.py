@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from spendscope.operators.criteria import interesting_summary, interesting_users, user_flags
 from spendscope.operators.features import with_features
-from spendscope.operators.profiles import FACETS, user_profiles
+from spendscope.operators.profiles import FACETS, user_profiles, user_totals
 from spendscope.operators.segments import DIMENSIONS, compare_totals, over_represented, row_share_of, split
 from spendscope.operators.stats import busiest_hour, category_amounts, extend_category_stats, top_categories
 from spendscope.operators.usertotals import dimension_stats, user_dimension_totals
 from spendscope.params import Params
 from spendscope.session import drop_scratch, scratch_mark, stored
+from spendscope.sources.landing import Landed, land_once
 from spendscope.sources.readers import read_csv, read_parquet, split_corrupt
-from spendscope.sources.sinks import write_by_user, write_parquet
+from spendscope.sources.sinks import write_by_user, write_set
 
 
 @dataclass
@@ -45,6 +46,7 @@ class Analysis:
     over_represented: DataFrame
     _cached: list[DataFrame] = field(default_factory=list)
     _mark: int | None = None
+    _landed: Landed | None = None
 
     def release(self) -> None:
         """Drop cached rows and the tables in the scratch folder; results can't be read any more."""
@@ -53,6 +55,9 @@ class Analysis:
         if self._mark is not None:
             drop_scratch(self.transactions.sparkSession, self._mark)
             self._mark = None
+        if self._landed is not None:
+            self._landed.drop()
+            self._landed = None
 
     def __enter__(self) -> Analysis:
         return self
@@ -61,39 +66,37 @@ class Analysis:
         self.release()
 
     def write(self, path: str) -> None:
-        """Write each result table to its own folder below ``path``."""
-        tables = {
-            "category_stats": self.category_stats,
-            "hourly_stats": self.hourly_stats,
-            "state_stats": self.state_stats,
-            "profiles": self.profiles,
-            "flags": self.flags,
-            "users": self.users,
-            "summary": self.summary,
-            "row_share": self.row_share,
-            "comparison": self.comparison,
-            "top_categories": self.top_categories,
-            "peak_hour": self.peak_hour,
-            "over_represented": self.over_represented,
-        }
-        for name, frame in tables.items():
-            if frame is not None:
-                write_parquet(frame, f"{path.rstrip('/')}/{name}")
-
-
-def load(spark: SparkSession, *paths: str, landing: str | None = None, lenient: bool = False) -> DataFrame:
+        """Write each result table to its own folder below ``path``; all of them appear at once.
+
+        A run that fails on the way leaves the set that was there before.
+        """
+        names = (
+            "category_stats", "hourly_stats", "state_stats", "profiles", "flags", "users", "summary",
+            "row_share", "comparison", "top_categories", "peak_hour", "over_represented",
+        )
+        tables = {name: getattr(self, name) for name in names}
+        write_set({name: frame for name, frame in tables.items() if frame is not None}, path, optional=("state_stats",))
+
+
+def load(
+    spark: SparkSession, *paths: str, landing: str | None = None, lenient: bool = False, once: bool = True
+) -> DataFrame:
     """Transactions from the first path that exists; CSV by its ending, else Parquet.
 
-    Bad lines of CSV raise; with ``lenient`` they are left out (``read_csv`` can show them).
+    Bad lines of CSV raise; with ``lenient`` they are left out (``read_csv`` can show them). CSV
+    is parsed once, into a scratch table that later passes read by column; without ``once`` it
+    is parsed anew in each pass.
 
-    With ``landing`` they are first written there as Parquet in the order of user and time:
-    one shuffle of the rows, after which every pass reads only the columns it needs and
-    aggregates per user are combined before they are shuffled.
+    With ``landing`` the rows are written there as Parquet in the order of user and time: one
+    shuffle, after which aggregates per user are combined before they are shuffled.
     """
     csv = all(p.endswith((".csv", ".csv.gz")) for p in paths)
     rows = read_csv(spark, *paths, lenient=lenient) if csv else read_parquet(spark, *paths)
     if csv and lenient:
         rows, _ = split_corrupt(rows)
+    # Ranges are found on a sample of the rows, which is a pass of its own.
+    if csv and once:
+        rows = land_once(rows)
     if landing is None:
         return rows
     write_by_user(rows, landing)
@@ -101,7 +104,7 @@ def load(spark: SparkSession, *paths: str, landing: str | None = None, lenient:
 
 
 def analyse(
-    df: DataFrame,
+    df: DataFrame | Landed,
     params: Params = Params(),
     keep: Literal["table", "memory", "nothing"] = "table",
     cache_features: bool = False,
@@ -118,6 +121,8 @@ def analyse(
     ``release`` drops them, and whatever else was stored in between.
     ``'memory'`` caches them on first use instead; with ``'nothing'`` each result starts over.
 
+    Rows that were landed by user (``land_by_user``) give the users' totals without an exchange.
+
     Features are cheap to derive again from a columnar source. Caching them, and spreading
     the rows over ``partitions`` first, is for sources that are slow to read, such as CSV.
     """
@@ -133,13 +138,16 @@ def analyse(
             return stored(frame, name)
         return cache(frame) if keep == "memory" else frame
 
-    tx = with_features(df.repartition(partitions) if partitions else df, params)
+    landed = df if isinstance(df, Landed) else None
+    rows = landed.rows if landed else df
+    tx = with_features(rows.repartition(partitions) if partitions else rows, params)
     if cache_features:
         tx = cache(tx)
     dimensions = [d for d in DIMENSIONS if d in tx.columns]
     totals = kept(user_dimension_totals(tx, [*dict.fromkeys([*dimensions, *FACETS])], params), "totals")
-    amounts = kept(category_amounts(tx), "category_amounts")
-    profiles = kept(user_profiles(tx, params, totals=totals), "profiles")
+    amounts = kept(category_amounts(tx, params), "category_amounts")
+    summed = landed.per_user(lambda part: user_totals(with_features(part, params), params)) if landed else None
+    profiles = kept(user_profiles(tx, params, totals=totals, summed=summed), "profiles")
     flags = kept(user_flags(profiles, tx, params), "flags")
     # The users are a table of their own, so that a join sees the size of the ids alone.
     users = kept(interesting_users(flags), "users")
@@ -147,7 +155,7 @@ def analyse(
     by_hour = dimension_stats(totals, "hour", "transaction_count").withColumn("hour", F.col("hour").cast("int"))
     by_category = dimension_stats(totals, "category", "total_transactions")
     by_state = dimension_stats(totals, "state", "transaction_count").drop("unique_users")
-    by_category = extend_category_stats(by_category, amounts)
+    by_category = extend_category_stats(by_category, amounts, params)
     comparison = compare_totals(totals.where(F.col("dimension").isin(*dimensions)), users)
     categories = comparison.where(F.col("dimension") == "category").withColumnRenamed("value", "category")
     return Analysis(
@@ -168,4 +176,5 @@ def analyse(
         over_represented=over_represented(categories),
         _cached=cached,
         _mark=mark if keep == "table" else None,
+        _landed=landed,
     )

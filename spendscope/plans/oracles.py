@@ -279,6 +279,16 @@ def oracles() -> dict[str, str]:
             count(DISTINCT cc_num) AS unique_users, round_even({MEAN}, 4) AS avg_amount,
             round_even(median(amt), 4) AS median_amount, round_even(stddev_samp(amt), 4) AS std_amount,
             round_even(avg(geo_distance_km), 4) AS avg_distance FROM f GROUP BY category""",
+        "distinct_users_sketch": f"""{BASE}, named AS (
+              SELECT 'category' AS dimension, category AS value, * FROM tx
+              UNION ALL SELECT 'hour', CAST(hour AS VARCHAR), * FROM tx
+              UNION ALL SELECT 'state', state, * FROM tx)
+            SELECT dimension, value, count(trans_num) AS transactions, count(DISTINCT cc_num) AS unique_users,
+              true AS same_totals, true AS within_bound FROM named GROUP BY 1, 2""",
+        "user_facets_sketch": f"""{BASE} SELECT cc_num, count(DISTINCT category) AS unique_categories,
+            count(DISTINCT merchant) AS unique_merchants, true AS within_bound FROM tx GROUP BY cc_num""",
+        "amount_quantiles_sketch": f"""{BASE} SELECT category, p, count(amt) AS n, true AS within_bound
+            FROM tx, (VALUES (0.5::DOUBLE), (0.95::DOUBLE)) q(p) GROUP BY 1, 2""",
         "hourly_stats": f"{BASE} {HOURLY}",
         "state_stats": f"""{BASE} SELECT state, count(trans_num) AS transaction_count, {MEAN} AS avg_amount
             FROM tx GROUP BY state""",

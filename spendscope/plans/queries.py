@@ -12,10 +12,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscope.operators import criteria, gaps, profiles, runmetrics, segments, stats
+from spendscope.operators import criteria, gaps, profiles, runmetrics, segments, sketches, stats
 from spendscope.operators.features import with_features
 from spendscope.operators.quantiles import exact_quantile
-from spendscope.operators.usertotals import user_dimension_totals
+from spendscope.operators.usertotals import dimension_stats, user_dimension_totals
 from spendscope.params import Params
 from spendscope.plans.analysis import analyse
 from spendscope.schemas import TRANSACTIONS
@@ -226,6 +226,77 @@ def peak_hour_global(spark, sf_dir):
     return stats.busiest_hour(stats.hourly_stats(_tx(spark, sf_dir), TUNED))
 
 
+# Mergeable summaries, each held against the exact result
+
+
+def _in_parts(tx, n=3):
+    """The rows as several inputs that don't know of each other."""
+    return [tx.where(F.col("trans_num") % n == i) for i in range(n)]
+
+
+def _within(estimated, exact, error):
+    return (F.abs(F.col(estimated) - F.col(exact)) <= F.col(exact) * error).alias("within_bound")
+
+
+@query
+def distinct_users_sketch(spark, sf_dir):
+    """Users per category, hour and state by merging the sketches of three inputs."""
+    tx = _tx(spark, sf_dir, with_state=True)
+    dimensions = ("category", "hour", "state")
+    merged = sketches.merge_dimension_sketches(
+        *(sketches.dimension_sketches(part, dimensions, TUNED) for part in _in_parts(tx))
+    )
+    totals = user_dimension_totals(tx, dimensions, TUNED)
+    compared = []
+    for d in dimensions:
+        exact = dimension_stats(totals, d, "transactions").withColumnRenamed(d, "value")
+        found = sketches.sketched_stats(merged, d, "merged").withColumnRenamed("unique_users", "estimated")
+        found = found.withColumnRenamed("avg_amount", "merged_amount").withColumnRenamed(d, "name")
+        both = exact.join(found, F.col("value").eqNullSafe(F.col("name")))
+        same = (F.col("merged") == F.col("transactions")) & F.col("merged_amount").eqNullSafe(F.col("avg_amount"))
+        compared.append(
+            both.select(
+                F.lit(d).alias("dimension"), "value", "transactions", "unique_users", same.alias("same_totals"),
+                _within("estimated", "unique_users", sketches.distinct_error()),
+            )
+        )
+    return compared[0].union(compared[1]).union(compared[2])
+
+
+@query
+def user_facets_sketch(spark, sf_dir):
+    """Distinct categories and merchants per user by merging the sketches of three inputs."""
+    tx = _tx(spark, sf_dir)
+    facets = ("category", "merchant")
+    merged = sketches.merge_user_sketches(*(sketches.user_sketches(part, facets) for part in _in_parts(tx)))
+    found = sketches.sketched_facets(merged).toDF("user", "some_categories", "some_merchants")
+    exact = profiles.user_facets(user_dimension_totals(tx, facets, TUNED), facets)
+    error = sketches.distinct_error()
+    return exact.join(found, F.col("cc_num").eqNullSafe(F.col("user"))).select(
+        *exact.columns,
+        (_within("some_categories", "unique_categories", error) & _within("some_merchants", "unique_merchants", error)).alias("within_bound"),
+    )
+
+
+@query
+def amount_quantiles_sketch(spark, sf_dir):
+    """Quantiles of the amounts per category by merging the sketches of three inputs: is their rank near enough?"""
+    tx = transactions(spark, sf_dir)
+    merged = sketches.merge_value_sketches(*(sketches.value_sketches(part, "amt", ["category"]) for part in _in_parts(tx)))
+    error = sketches.rank_error()
+    compared = []
+    for p in (0.5, 0.95):
+        found = sketches.sketched_quantile(merged, p, "found").withColumnRenamed("category", "name")
+        ranks = tx.join(found, F.col("category").eqNullSafe(F.col("name"))).groupBy("category").agg(
+            F.count("amt").alias("n"),
+            F.count_if(F.col("amt") < F.col("found")).alias("below"),
+            F.count_if(F.col("amt") <= F.col("found")).alias("upto"),
+        )
+        near = (F.col("below") <= F.col("n") * (p + error)) & (F.col("upto") >= F.col("n") * (p - error))
+        compared.append(ranks.select("category", F.lit(p).alias("p"), "n", near.alias("within_bound")))
+    return compared[0].union(compared[1])
+
+
 # Profiles
 
 
@@ -260,7 +331,7 @@ def user_peak_hour_ranked(spark, sf_dir):
 
 @query
 def user_geo_stats(spark, sf_dir):
-    built = profiles.fill_deviations(profiles.user_geo_stats(_tx(spark, sf_dir)))
+    built = profiles.fill_deviations(profiles.user_geo_stats(_tx(spark, sf_dir), TUNED))
     return _rounded(built, "avg_distance", "max_distance", "std_distance")
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from spendscope.operators.gaps import (
     burst_users,
-    first_transactions,
+    carried_times,
     short_gap_counts,
+    user_time_ranges,
     window_burst_users,
     with_gaps,
 )
@@ -72,16 +73,6 @@ def test_row_gaps_against_brute_force(spark, mode):
     assert Counter(map(tuple, got.collect())) == expected
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 3600, 10**7])
-def test_first_transactions_for_any_chunk(spark, chunk):
-    data = random_rows(11)
-    expected = set()
-    for user, seq in ordered(data).items():
-        times = sorted({t for t, _ in seq})
-        expected |= {(user, t, min(n for u, n in seq if u == t), p) for p, t in zip([None, *times], times)}
-    assert set(map(tuple, first_transactions(frame(spark, data), chunk).collect())) == expected
-
-
 @pytest.mark.parametrize("parts", [1, 5])
 def test_one_row_of_an_instant_has_the_gap(spark, parts):
     # Copies of one transaction, and transactions without a number, at one instant.
@@ -99,14 +90,64 @@ def test_one_row_of_an_instant_has_the_gap(spark, parts):
     )
 
 
-def test_two_scans_and_no_sort_by_user(spark, tmp_path):
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_times_are_carried_over_any_borders(spark, partitions):
+    """A user may fill many partitions, some of them with missing times only."""
+    data = random_rows(partitions) + [{"cc_num": 2, "trans_date_trans_time": None} for _ in range(300)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = Counter((r["trans_num"], r["time_diff"]) for r in with_gaps(frame(spark, data)).collect())
+        ranges = user_time_ranges(frame(spark, data))
+        assert partitions == 1 or ranges.select("__part").distinct().count() > partitions // 2
+        assert carried_times(ranges).count() < max(2, partitions)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    names = [f"t{i:05d}" for i in range(len(data))]
+    users = {}
+    for name, row in zip(names, data):
+        users.setdefault(row["cc_num"], []).append((row["trans_date_trans_time"], name))
+    expected = Counter()
+    for own in users.values():
+        previous = None
+        for t, name in sorted((x for x in own if x[0] is not None)):
+            gap = None if previous is None else int(t.replace(microsecond=0).timestamp() - previous.replace(microsecond=0).timestamp())
+            expected[name, gap] += 1
+            previous = t
+        expected.update((name, None) for t, name in own if t is None)
+    assert got == expected
+
+
+def test_a_third_of_the_rows_without_user_time_and_id(spark):
+    """Hot rows with nothing to tell them apart still spread evenly."""
+    n = 30_000
+    hot = F.col("id") % 3 == 0
+    df = spark.range(n).select(
+        F.when(~hot, F.col("id") % 50).alias("cc_num"),
+        F.when(~hot, F.col("id").cast("string")).alias("trans_num"),
+        F.when(~hot, F.timestamp_seconds(F.col("id"))).cast("timestamp_ntz").alias("trans_date_trans_time"),
+    )
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in user_time_ranges(df).groupBy("__part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(sizes) == 8 and max(sizes) < 1.5 * n / 8
+    got = with_gaps(df)
+    assert got.count() == n and got.where("cc_num is null and time_diff is not null").count() == 0
+
+
+def test_one_shuffle_after_the_ranges(spark, tmp_path):
     path = str(tmp_path / "rows")
     frame(spark, random_rows(1)).write.parquet(path)
     plan = with_gaps(spark.read.parquet(path))
     plan.collect()
     final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert final.count("FileScan") <= 2
-    assert "rangepartitioning" not in final and "BroadcastNestedLoopJoin" not in final
+    # The window's, and two small ones of the carried times.
+    assert final.count("Exchange hashpartitioning") <= 3 and "BroadcastNestedLoopJoin" not in final
 
 
 @pytest.mark.parametrize("limit,m", [(1, 2), (60, 1), (60, 4), (600, 9), (3600, 30), (600, 451), (600, 600)])

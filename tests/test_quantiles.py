@@ -6,7 +6,7 @@ import pytest
 from helpers import numbers
 from pyspark.sql import functions as F
 
-from spendscope.operators.quantiles import _magnitude, exact_quantile
+from spendscope.operators.quantiles import exact_quantile, range_quantile, value_ranges
 
 
 def nearest_rank(values, p):
@@ -68,13 +68,13 @@ def test_grouped(spark):
     assert got == {k: float(np.quantile(v, 0.5)) for k, v in groups.items()}
 
 
-def test_buckets_keep_the_order(spark):
+def test_any_double(spark):
     r = random.Random(8)
     values = [r.choice([-1, 1]) * 2.0 ** r.uniform(-1074, 1023) for _ in range(3000)]
     values += [0.0, -0.0, math.inf, -math.inf, 5e-324, -5e-324, 1.0, math.nextafter(1.0, 2.0)]
-    got = numbers(spark, values).select("v", _magnitude(F.col("v")).alias("b")).collect()
-    buckets = [x["b"] for x in sorted(got, key=lambda x: x["v"])]
-    assert buckets == sorted(buckets)
+    ranges = value_ranges(numbers(spark, values).repartition(5), "v")
+    for p in (0.0, 0.1, 0.5, 0.9, 1.0):
+        assert range_quantile(ranges, p).first()[0] == nearest_rank(values, p)
 
 
 def test_nearly_equal_values_and_an_outlier(spark):
@@ -93,11 +93,29 @@ def test_two_far_clusters(spark):
     assert exact_quantile(df, "v", 0.5, method="interpolated").first()[0] == pytest.approx(np.quantile(values, 0.5))
 
 
-def test_values_are_never_sorted(spark):
-    # Windows run over histograms only, ordered by bucket.
-    plan = exact_quantile(numbers(spark, [1.0, 2.0]), "v", 0.5)._jdf.queryExecution().optimizedPlan().toString()
-    orders = [line for line in plan.split("\n") if "Window " in line and "bucket" not in line and "windowspecdefinition" in line]
-    assert not [line for line in orders if " ASC" in line.replace("bucket", "")]
+def test_one_shuffle_of_values(spark):
+    """Looking for a rank reads the ranges as they lie: only rows per group and partition are shuffled or sorted whole."""
+    counted = spark.range(5000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"), F.lit(2).alias("n"))
+    ranges = value_ranges(counted, "v", ["k"], count="n")
+    parts = {(r["k"], r["__part"]): (r["low"], r["high"]) for r in ranges.groupBy("k", "__part").agg(F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    for (k, part), (_, high) in parts.items():
+        assert all(high < low for (k2, later), (low, _) in parts.items() if k2 == k and later > part)
+    text = range_quantile(ranges, 0.5, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in text and text.count("Relation") == 2
+
+
+def test_a_frequent_value_and_a_large_group(spark):
+    # Two thirds of the rows are one value, and one group holds nearly all of them.
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 100 == 0, "b").otherwise("a").alias("k"),
+        F.when(F.col("id") % 3 < 2, 5.0).otherwise(F.col("id").cast("double")).alias("v"),
+    )
+    groups = {k: sorted(5.0 if i % 3 < 2 else float(i) for i in range(60_000) if (i % 100 == 0) == (k == "b")) for k in "ab"}
+    ranges = value_ranges(df.repartition(7), "v", ["k"])
+    assert ranges.where("__value = 5").count() == 2
+    for p in (0.01, 0.5, 0.7, 0.95):
+        got = {r["k"]: r["q"] for r in range_quantile(ranges, p, ["k"], name="q").collect()}
+        assert got == {k: nearest_rank(v, p) for k, v in groups.items()}
 
 
 def test_counted_values(spark):
