@@ -11,9 +11,13 @@ ROWS, BYTES = 1000, 4 << 20
 def in_small_batches(df: DataFrame) -> DataFrame:
     """``df``, with its session set to hand small batches to Python.
 
-    The default of 10,000 rows is tens of MB of texts for each task on either side.
+    The default of 10,000 rows is tens of MB of texts for each task on either side. Spark reads the
+    settings when a job starts, so they stay; a session that has lower ones keeps them.
     """
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES))
+    for key, limit in (("maxRecordsPerBatch", ROWS), ("maxBytesPerBatch", BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        own = conf.get(key)
+        if not own.isdigit() or not 0 < int(own) <= limit:
+            conf.set(key, str(limit))
     return df

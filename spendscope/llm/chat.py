@@ -20,7 +20,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.llm.batches import in_small_batches
@@ -60,26 +60,40 @@ def parse(piece: str) -> tuple[str, str]:
 def events_of(rows: DataFrame, delta: int = DELTA) -> DataFrame:
     """The log of finished conversations (conv_id, turn, role, text): one message per row.
 
-    Repeated rows are messages of their own. NULL roles and texts count as empty.
+    By the crc32 of ``conv_id:turn`` modulo 3 a message is streamed in deltas (0), starts with a
+    draft whose text an edit replaces by the first part of the final one (1), or has a draft
+    that is thrown away by a regeneration (2). Its final text is the row's in each case. Repeated
+    rows are messages of their own. NULL roles and texts count as empty.
     """
     text = F.coalesce("text", F.lit(""))
-    parts = F.transform(
-        F.sequence(F.lit(0), F.floor((F.length(text) - 1) / delta).cast("int")),
-        lambda i: F.struct(
-            (i + 1).cast("long").alias("seq"), F.lit("delta").alias("kind"), F.substring(text, i * delta + 1, F.lit(delta)).alias("text")
-        ),
+    way = F.crc32(F.concat_ws(":", "conv_id", "turn").cast("binary")) % 3
+
+    def event(kind: str, said: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), said.alias("text"))
+
+    def part(i: Column) -> Column:
+        kind = F.when((i == 0) & (way == 1), "edit").otherwise("delta")
+        return F.struct(kind.alias("kind"), F.substring(text, i * delta + 1, F.lit(delta)).alias("text"))
+
+    last = F.greatest(F.floor((F.length(text) - 1) / delta), F.lit(0)).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), last), part)
+    empty = F.lit("")
+    draft = F.concat(F.lit("draft "), F.upper(F.substring(text, 1, 20)))
+    start = (
+        F.when(way == 1, F.array(event("open", empty), event("delta", draft)))
+        .when(way == 2, F.array(event("open", empty), event("delta", draft), event("regenerate", empty)))
+        .otherwise(F.array(event("open", empty)))
     )
-    opened = F.array(F.struct(F.lit(0).cast("long").alias("seq"), F.lit("open").alias("kind"), F.lit("").alias("text")))
-    events = F.when(F.length(text) > 0, F.concat(opened, parts)).otherwise(opened)
     numbered = in_small_batches(rows).select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.monotonically_increasing_id().alias("message"),
         F.coalesce("role", F.lit("")).alias("role"),
-        events.alias("events"),
+        F.concat(start, parts).alias("events"),
     )
-    return numbered.select("conv_id", "turn", "message", "role", F.inline("events")).select(
-        "conv_id", "turn", "message", "seq", "kind", "role", "text"
+    placed = numbered.select("conv_id", "turn", "message", "role", F.posexplode("events").alias("seq", "event"))
+    return placed.select(
+        "conv_id", "turn", "message", F.col("seq").cast("long").alias("seq"), "event.kind", "role", "event.text"
     )
 
 
@@ -176,13 +190,15 @@ _DIGEST = pa.schema(
 def digests(rendered: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """One row per conversation, read back from its rendered messages by turn.
 
-    Messages of one turn are ordered by role and text. Rows without a conversation id make a
+    Messages of one turn are ordered by role and (unescaped) text. Rows without a conversation id make a
     conversation of their own. A digest over a conversation needs its messages one after the
     other, so they are streamed through one task, which holds one message at a time.
     """
+    # Only compared where turn and role are equal, so only then worked out.
+    text = F.regexp_replace(F.substring("piece", F.col("low") + 1, F.col("high") - F.col("low")), r"(?s)\\(.)", "$1")
     return (
         rendered.select("conv_id", "turn", "role", "piece", "message", "low", "high")
         .repartition("conv_id")
-        .sortWithinPartitions("conv_id", "turn", "role", "piece", "message")
+        .sortWithinPartitions("conv_id", "turn", "role", text, "message")
         .mapInArrow(_digest(loss_role), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     )

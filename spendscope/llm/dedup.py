@@ -25,11 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.llm.batches import in_small_batches
-from spendscope.llm.members import bitmap, marked
+from spendscope.llm.members import bitmap, bits_for, marked
 from spendscope.session import stored
 
 #: Of 2e10 different texts, about 7e-5 are suspects for no reason; they cost time only.
 FINGERPRINT_BITS = 48
+#: Texts for each owner of a range of fingerprints.
+OWNER_ROWS = 1 << 21
 #: Rows of a block at most; its fingerprints take 8 bytes each while it is coded.
 BLOCK_ROWS = 1 << 17
 
@@ -135,10 +137,11 @@ def suspect_hashes(
 ) -> DataFrame:
     """SHA-256 values (``sha``) of all texts whose fingerprint occurs more than once.
 
-    ``owners`` is the number of fingerprint ranges, by default that of shuffle partitions; an
-    owner holds 8 bytes for each fingerprint of its range and block.
+    ``owners`` is the number of fingerprint ranges, by default one for ``OWNER_ROWS`` texts and
+    not fewer than there are shuffle partitions. An owner holds 8 bytes a few times over for
+    each fingerprint of its range and block.
     """
-    owners = owners or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owners = owners or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // OWNER_ROWS))
     sent = stored(
         in_small_batches(docs).select(F.monotonically_increasing_id().alias("number"), _sha(F.col(text)).alias("sha")).mapInArrow(
             _sender(owners, fingerprint_bits, block_rows), _SENT
@@ -170,14 +173,16 @@ def exact_dedup(
     text. Of rows that share the largest id, one stays; a NULL id is below all others.
     ``exchange`` goes to ``suspect_hashes``. Runs jobs and writes scratch tables.
     """
-    bits = stored(bitmap(suspect_hashes(docs, text, **exchange), F.col("sha")), "suspects")
+    hashes = stored(suspect_hashes(docs, text, **exchange), "suspect_hashes")
+    size = bits_for(hashes)
+    bits = stored(bitmap(hashes, F.col("sha"), size), "suspects")
     rows = docs.select(
         (F.struct("*") if carry is None else F.struct(id, *carry)).alias("doc"),
         F.col(id).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("body"),
         _sha(F.col(text)).alias("sha"),
     )
-    rows = marked(rows, F.col("sha"), bits, "suspect")
+    rows = marked(rows, F.col("sha"), bits, "suspect", size)
     alone = rows.where("not suspect").select(
         "doc", "id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
     )

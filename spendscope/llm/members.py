@@ -1,7 +1,7 @@
 """Picking out the few rows of a large table that belong to a set of keys, without shuffling it.
 
-The set is folded into a bitmap of a fixed number of bits, which is broadcast: its size does
-not depend on the data. A row whose bit is not set is certainly outside the set; one whose bit
+The set is folded into a bitmap of a number of bits with a fixed bound, which is broadcast: its size
+does not grow with the data beyond that. A row whose bit is not set is certainly outside the set; one whose bit
 is set is nearly always inside, and what follows settles that exactly. If a set is much larger
 than the bitmap, more rows take the exact way behind it and results stay the same.
 """
@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 
 #: 2**24 bits as 64-bit words: at most 262,144 rows of 16 bytes.
 BITS = 24
+#: Where the number of keys is known: 16 bits for each, 2**27 bits or 32 MB at most.
+MOST_BITS = 27
+
+
+def bits_for(keys: DataFrame) -> int:
+    """Size of a bitmap for the rows of ``keys``, a stored table."""
+    return min(max(BITS, (16 * keys.count()).bit_length()), MOST_BITS)
 
 
 def _slot(key: Column, bits: int) -> Column:

@@ -113,6 +113,96 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM split LEFT JOIN kept USING (row)
 """
 
+# Cut into chunks first: a place deep in a long string is slow to reach.
+OP12 = """
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, hex(coalesce(text, '')) AS h FROM documents),
+chunks AS (SELECT row, doc_id, low, substr(h, 2 * low + 1, 226) AS part FROM (SELECT *, unnest(range(0, len(h) // 2, 64)) AS low FROM docs)),
+bytes AS (
+  SELECT row, doc_id, low + k AS i, substr(part, 2 * k + 1, 100) AS x
+  FROM (SELECT *, unnest(range(least(64, len(part) // 2))) AS k FROM chunks)
+), firsts AS (SELECT x, min(doc_id) AS first_id FROM bytes WHERE len(x) = 100 GROUP BY x),
+hits AS (SELECT row, i, left(x, 2) AS c, coalesce(first_id < doc_id, false) AS hit FROM bytes LEFT JOIN firsts USING (x)),
+marked AS (SELECT row, i, c, bool_or(hit) OVER (PARTITION BY row ORDER BY i ROWS 49 PRECEDING) AS gone FROM hits),
+runs AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY row ORDER BY i) AS starts FROM marked),
+cut AS (
+  SELECT row, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans,
+    string_agg(c, '' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM runs GROUP BY row
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (row)
+"""
+
+
+def _repair_sql() -> str:
+    """The costs still to come of the four states (none, s, u, a), row by row from the end, with edits and lines."""
+    given, after = ("user", "user", "assistant", "user"), (2, 2, 3, 2)
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+
+    def way(rest: str, cost: str, edit: str, line: str | None) -> str:
+        lines = f"{rest}.t" if line is None else f"{line} || CASE WHEN {rest}.t = '' THEN '' ELSE chr(10) || {rest}.t END"
+        return f"{{'c': {cost} + {rest}.c, 'a': '{edit}' || {rest}.a, 't': {lines}}}"
+
+    def row(q: int) -> str:
+        more = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+        ways = [way(f"f{q}", "2", "D", None)]
+        rerole = way(f"f{after[q]}", f"1 + {more}", "R", f"'{given[q]}:' || text")
+        ways.append(f"CASE WHEN fault NOT IN ('blank', 'duplicate') THEN {rerole} END")
+        for initial, to in kept[q].items():
+            keep = way(f"f{to}", more, "K", "role || ':' || text")
+            ways.append(f"CASE WHEN fault NOT IN ('blank', 'duplicate') AND initial = '{initial}' THEN {keep} END")
+        return f"list_min(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL)) AS f{q}"
+
+    def insert(q: int) -> str:
+        put = way(f"f{after[q]}", "5", "I", f"'{given[q]}:'")
+        return f"list_min([f{q}, {put}]) AS f{q}"
+
+    states = range(4)
+    inserts = ", ".join(map(insert, states))
+    f = ", ".join(f"f{q}" for q in states)
+    end = {0: (0, "", ""), 1: (10, "II", "user:'||chr(10)||'assistant:"), 2: (5, "I", "assistant:"), 3: (0, "", "")}
+    ends = ", ".join(f"{{'c': {c}, 'a': '{a}', 't': '{t}'}} AS f{q}" for q, (c, a, t) in end.items())
+    # crc32 bit by bit: a number stands for a byte that comes in, -1 for a shift.
+    crc = """list_reduce([4294967295] || flatten(list_transform(string_split(k, ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda c, op: CASE WHEN op >= 0 THEN xor(c, op) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)"""
+    blank = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), kinds AS (SELECT *, xor({crc}, 4294967295) % 20 AS kind FROM named),
+spoilt AS (
+  SELECT conv_id, turn, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds WHERE kind <> 0
+), placed AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, {blank}) AS bare,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS said FROM spoilt
+), faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN said > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM placed
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id
+), steps AS (
+  SELECT conv_id, n AS i, {ends} FROM counts
+  UNION ALL
+  SELECT conv_id, i, {inserts} FROM (SELECT conv_id, i, {inserts} FROM (
+    SELECT s.conv_id, s.i - 1 AS i, {", ".join(map(row, states))}
+    FROM steps s JOIN faults r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i))
+), ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+  CAST(coalesce(f0.c, 0) AS BIGINT) AS cost, coalesce(f0.a, '') AS audit, sha256(coalesce(f0.t, '')) AS repaired_sha256
+FROM ids LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
+  LEFT JOIN steps ON steps.conv_id IS NOT DISTINCT FROM ids.conv_id AND steps.i = 0
+"""
+
+
+OP13 = _repair_sql()
+
 ORACLES: dict[str, str] = {
     "op1_chat_format": OP1,
     "op2_exact_dedup": OP2,
@@ -120,4 +210,6 @@ ORACLES: dict[str, str] = {
     "op4_topk_search": OP4,
     "op6_near_dedup": OP6,
     "op10_substring_dedup": OP10,
+    "op12_suffix_dedup": OP12,
+    "op13_conversation_repair": OP13,
 }

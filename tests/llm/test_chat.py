@@ -42,11 +42,32 @@ def test_a_long_text_in_many_deltas(spark):
     text = "é\\[INST] " * 5000
     rows = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
     events = chat.events_of(rows, delta=700)
-    assert events.count() == 1 + -(-len(text) // 700)
+    assert -(-len(text) // 700) < events.count() <= 3 + -(-len(text) // 700)
     (row,) = chat.digests(chat.messages(events)).collect()
     assert (row.loss_chars, row.loss_sha256) == (len(text), hashlib.sha256(text.encode()).hexdigest())
 
 
+def test_ways_of_a_log(spark):
+    """Logs made from rows hold edits and regenerations, and fold back to the rows."""
+    rows = [(c, t, "user", f"text {c} {t} " * (t + 1) if t else "") for c in range(40) for t in range(3)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    events = chat.events_of(df, delta=16)
+    kinds = {r["kind"]: r["count"] for r in events.groupBy("kind").count().collect()}
+    assert kinds["open"] == len(rows) and kinds["edit"] > 20 and kinds["regenerate"] > 20 and kinds["delta"] > len(rows)
+    found = sorted((r.conv_id, r.turn, *chat.parse(r.piece)) for r in chat.messages(events.repartition(3)).collect() if r.conv_id is not None)
+    assert found == sorted(rows[:-1])
+
+
+def test_order_within_a_turn(spark):
+    """Messages of one turn and role stand in the order of their texts, not of the escaped ones."""
+    groups = {1: ["a", "a b"], 2: ["<|x", "<a"], 3: ["\\", "]", "[INST]", "[", "</s>", "<0"], 4: ["é", "e", ""]}
+    rows = [(c, 0, "user", t) for c, own in groups.items() for t in own]
+    df = spark.createDataFrame(rows[::-1], "conv_id long, turn long, role string, text string")
+    for r in chat.digests(chat.messages(chat.events_of(df.repartition(4)))).collect():
+        lines = "".join(f"user\n{t}\n" for t in sorted(groups[r.conv_id]))
+        assert r.turns_sha256 == hashlib.sha256(lines.encode()).hexdigest()
+
+
 def test_digests(spark):
     rows = [(c, t, r, x, "extra") for c in (1, 2, None) for t in (0, 1, 1, 2, None) for r, x in (("user", "q</s>"), ("assistant", "é" * t if t else None))]
     rows += [(3, 0, None, None, "extra"), (4, 0, "assistant", "same", None), (4, 0, "assistant", "same", None)]

@@ -91,3 +91,27 @@ def test_components(spark):
 
 def test_empty(spark):
     assert hmh.near_groups(documents(spark, [])).count() == 0
+
+
+def test_overlaps_are_exact():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(np.concatenate([rng.integers(0, 90, 60), rng.integers(0, 10**6, rng.integers(0, 40))])) for _ in range(150)] + [np.zeros(0, int)]
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    rows, cols = np.arange(0, 151, 2), np.arange(1, 151, 2)
+    for a, b in ((rows, cols), (rows, rows), (np.arange(151), np.arange(151))):
+        got = hmh.overlaps(at, np.concatenate(sets), a, b)
+        want = np.array([[len(np.intersect1d(sets[i], sets[j])) for j in b] for i in a])
+        assert ((got == want) | (a[:, None] == b)).all()
+
+
+def test_a_template_without_links(spark):
+    """Many pages of one template, all just below the threshold: bounded work, no link but the planted one."""
+    import time
+
+    template = [f"t{i}" for i in range(404)]
+    rows = [(i, " ".join([*template, *(f"p{i}x{k}" for k in range(80))])) for i in range(1500)]
+    rows.append((5000, rows[7][1] + " more"))
+    start = time.perf_counter()
+    got = {r.id: r.component_id for r in hmh.near_groups(documents(spark, rows), width=4, percent=80).collect()}
+    assert time.perf_counter() - start < 60
+    assert got == {i: (7 if i == 5000 else i) for i, _ in rows}
