@@ -109,7 +109,7 @@ def test_a_template_without_links(spark):
     import time
 
     template = [f"t{i}" for i in range(404)]
-    rows = [(i, " ".join([*template, *(f"p{i}x{k}" for k in range(80))])) for i in range(1500)]
+    rows = [(i, " ".join([*template, *(f"p{i}x{k}" for k in range(80))])) for i in range(600)]
     rows.append((5000, rows[7][1] + " more"))
     start = time.perf_counter()
     got = {r.id: r.component_id for r in hmh.near_groups(documents(spark, rows), width=4, percent=80).collect()}
