@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendscope.llm.batches import in_small_batches
+from spendscope.llm.batches import in_small_batches, tidy
 from spendscope.llm.members import bitmap, bits_for, marked
 from spendscope.session import stored
 
@@ -144,7 +144,7 @@ def suspect_hashes(
     owners = owners or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // OWNER_ROWS))
     sent = stored(
         in_small_batches(docs).select(F.monotonically_increasing_id().alias("number"), _sha(F.col(text)).alias("sha")).mapInArrow(
-            _sender(owners, fingerprint_bits, block_rows), _SENT
+            tidy(_sender(owners, fingerprint_bits, block_rows)), _SENT
         ),
         "fingerprints",
     )

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendscope.llm.batches import in_small_batches
+from spendscope.llm.batches import in_small_batches, tidy
 from spendscope.llm.graph import components
 from spendscope.llm.groups import sorted_groups
 from spendscope.llm.members import bitmap, marked
@@ -321,7 +321,7 @@ def near_groups(
     Runs jobs and writes scratch tables.
     """
     threshold = percent / 100
-    rows = stored(_rows(docs, id, text).mapInArrow(_sketcher(width), _SKETCH), "sketches")
+    rows = stored(_rows(docs, id, text).mapInArrow(tidy(_sketcher(width)), _SKETCH), "sketches")
     worded = rows.where("n_shingles > 0")
     # Any row of a node may stand for it: the words are the same. min() needs fixed-size buffers.
     nodes = stored(
@@ -330,7 +330,7 @@ def near_groups(
         ),
         "nodes",
     )
-    bands = nodes.select("node", "n_shingles", "regs").mapInArrow(_bands, "band long, node long, n long")
+    bands = nodes.select("node", "n_shingles", "regs").mapInArrow(tidy(_bands), "band long, node long, n long")
     crowds = bands.groupBy("band").agg(
         F.min("node").alias("pivot"), F.count(F.lit(1)).alias("crowd"), F.sum("n").alias("weight")
     )
@@ -357,11 +357,11 @@ def near_groups(
         .select(*_KEY, "part", "node", "component", "n_shingles", "regs")
     )
     blocks = open_seats.repartition(*_KEY).sortWithinPartitions(*_KEY)
-    doubtful = stored(blocks.mapInArrow(_finder(threshold), open_seats.schema), "doubtful")
+    doubtful = stored(blocks.mapInArrow(tidy(_finder(threshold)), open_seats.schema), "doubtful")
     if not doubtful.isEmpty():
         items = _items(doubtful.select("node").distinct(), docs, rows, id, text, width)
         blocks = doubtful.join(items, "node").repartition(*_KEY).sortWithinPartitions(*_KEY)
-        more = stored(blocks.mapInArrow(_linker(percent), "a long, b long"), "links")
+        more = stored(blocks.mapInArrow(tidy(_linker(percent)), "a long, b long"), "links")
         if not more.isEmpty():
             found = stored(components(links.union(more)), "components")
 
@@ -386,7 +386,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     for side in "ab":
         sketch = nodes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("regs").alias(f"regs_{side}"))
         pairs = pairs.join(sketch, side)
-    return pairs.mapInArrow(_estimator(threshold), "a long, b long")
+    return pairs.mapInArrow(tidy(_estimator(threshold)), "a long, b long")
 
 
 def _items(nodes: DataFrame, docs: DataFrame, rows: DataFrame, id: str, text: str, width: int) -> DataFrame:
@@ -400,7 +400,7 @@ def _items(nodes: DataFrame, docs: DataFrame, rows: DataFrame, id: str, text: st
     chosen = attach(texts, wanted, ["id", "source"], "inner")
     # Repeated rows with one id give the same set again.
     chosen = chosen.dropDuplicates(["node"]).select("node", "body")
-    return stored(chosen.mapInArrow(_shingler(width), "node long, items array<long>"), "shingles")
+    return stored(chosen.mapInArrow(tidy(_shingler(width)), "node long, items array<long>"), "shingles")
 
 
 def _verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:

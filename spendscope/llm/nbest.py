@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendscope.llm.batches import in_small_batches
+from spendscope.llm.batches import in_small_batches, tidy
 from spendscope.llm.words import U64, bytes_hash
 
 UNIT = 1_000_000
@@ -362,4 +362,4 @@ def n_best(docs: DataFrame, model: str, n: int = 3, id: str = "doc_id", text: st
     """
     rows = in_small_batches(docs).select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     schema = "id long, rank int, score double, n_ids long, ids_crc32 long, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return rows.mapInArrow(_runner(model, n, with_ids), schema)
+    return rows.mapInArrow(tidy(_runner(model, n, with_ids)), schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendscope.llm.batches import in_small_batches
+from spendscope.llm.batches import in_small_batches, tidy
 from spendscope.llm.words import LOWER, PLAIN, Words, bytes_hash, split_words
 from spendscope.session import stored
 
@@ -161,7 +161,7 @@ def pieces(
         F.col(id).cast("long").alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("body"),
     )
-    return rows.mapInArrow(_piece_maker(tokenizer, capacity, end_id, with_ids), schema)
+    return rows.mapInArrow(tidy(_piece_maker(tokenizer, capacity, end_id, with_ids)), schema)
 
 
 class OpenWindows:
@@ -245,5 +245,5 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHAR
         pieces.withColumn("shard", F.pmod(F.xxhash64("number", "start"), F.lit(shards)).cast("long"))
         .repartition(min(shards, 100_000), "shard")
         .sortWithinPartitions("shard", F.desc("length"), "number", "start")
-        .mapInArrow(_packer(capacity), schema)
+        .mapInArrow(tidy(_packer(capacity)), schema)
     )

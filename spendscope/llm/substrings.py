@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendscope.llm.batches import in_small_batches
+from spendscope.llm.batches import in_small_batches, tidy
 from spendscope.llm.groups import sorted_groups
 from spendscope.llm.members import bitmap, marked
 from spendscope.llm.words import PLAIN, U64, Words, as_long, spans_hash, split_words, windows_hash
@@ -268,7 +268,7 @@ def repeated_spans(
     may overlap. Texts with fewer words than ``width`` have none. Runs jobs and writes scratch
     tables; the largest holds about 40 bytes for every 15 words.
     """
-    pieces = stored(_rows(docs, id, text).mapInArrow(_piece_maker(width), _PIECE), "pieces")
+    pieces = stored(_rows(docs, id, text).mapInArrow(tidy(_piece_maker(width)), _PIECE), "pieces")
     # The columns of first() come from one row, and the table is written once.
     where = [F.first(c).alias(c) for c in ("id", *SOURCE, "at", "n")]
     distinct = pieces.groupBy("shard", "piece").agg(F.count(F.lit(1)).alias("copies"), *where)
@@ -286,7 +286,7 @@ def repeated_spans(
     texts = marked(_rows(docs, id, text), F.col("source"), bits, "member").where("member")
     texts = attach(texts, asked, ["id", *SOURCE], "inner")
     fetched = texts.select("body", "wanted").mapInArrow(
-        _fetcher(width), "shard long, piece long, copies long, pieces long, words binary"
+        tidy(_fetcher(width)), "shard long, piece long, copies long, pieces long, words binary"
     )
     # Repeated rows with one id would give a piece twice.
     fetched = stored(fetched.dropDuplicates(["shard", "piece"]), "fetched")
@@ -294,11 +294,11 @@ def repeated_spans(
         fetched.where(F.col("pieces") <= shard_pieces)
         .repartition("shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(_matcher(width), _FOUND)
+        .mapInArrow(tidy(_matcher(width)), _FOUND)
     )
     # Dealt by piece, so that no task makes the windows of a whole shard.
     large = fetched.where(F.col("pieces") > shard_pieces).repartition("shard", "piece")
-    windows = large.mapInArrow(_window_maker(width), "shard long, piece long, copies long, low int, window long")
+    windows = large.mapInArrow(tidy(_window_maker(width)), "shard long, piece long, copies long, low int, window long")
     often = windows.groupBy("shard", "window").agg(F.sum("copies").alias("n")).where("n > 1").select("shard", "window")
     counted = windows.join(stored(often, "often"), ["shard", "window"]).select("shard", "piece", "low", (F.col("low") + 1).alias("high"))
 
@@ -370,4 +370,4 @@ def without_repeats(
     plain = rows.where("not member").select("doc", "body", none.alias("spans"))
     cut = rows.where("member").join(spans, list(SOURCE), "left").select("doc", "body", F.coalesce("spans", none).alias("spans"))
     schema = T.StructType([plain.schema["doc"]]).add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    return plain.mapInArrow(_cutter, schema).union(cut.mapInArrow(_cutter, schema))
+    return plain.mapInArrow(tidy(_cutter), schema).union(cut.mapInArrow(tidy(_cutter), schema))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendscope.llm.batches import in_small_batches
+from spendscope.llm.batches import give_back, in_small_batches, tidy
 from spendscope.llm.words import LOWER_ALNUM, U64, Words, as_long, bytes_hash, mix, split_words, windows_hash
 from spendscope.session import stored
 
@@ -112,7 +112,10 @@ def _fit(sample: pd.DataFrame) -> pd.DataFrame:
     place = np.cumsum(used) - 1
     weights, bias = ftrl([place[r[used[r]]] for r in rows], labels, int(used.sum()))
     kept = np.flatnonzero(weights)
-    return pd.DataFrame({"feature": np.append(as_long(distinct[used][kept]), -1), "weight": np.append(weights[kept], bias)})
+    found = pd.DataFrame({"feature": np.append(as_long(distinct[used][kept]), -1), "weight": np.append(weights[kept], bias)})
+    del rows, code, distinct, used, place
+    give_back()
+    return found
 
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -174,7 +177,7 @@ def scored(docs: DataFrame, weights: DataFrame, doc: Column, text: str = "text")
     rows = rows[rows["feature"] >= 0]
     score = _scorer(rows["feature"].to_numpy(np.int64), rows["weight"].to_numpy(float), float(bias))
     out = in_small_batches(docs).select(doc.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    return out.mapInArrow(score, T.StructType([out.schema["doc"]]).add("score", "double"))
+    return out.mapInArrow(tidy(score), T.StructType([out.schema["doc"]]).add("score", "double"))
 
 
 def toxicity(
