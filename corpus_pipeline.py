@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spendscope.llm import dedup, hyperminhash, packing, substrings, toxicity
 from spendscope.llm.queries import table, tokenizer_path
-from spendscope.session import stored
+from spendscope.session import drop_scratch, scratch_mark, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +61,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is a table in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each one's result is a table in the shared folder.
+
+    A stage's scratch tables, and the result before it, go once its own result is written.
+    """
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        drop_scratch(spark, mark, keep=1)
     return docs

@@ -77,12 +77,13 @@ def scratch_mark() -> int:
     return len(_written)
 
 
-def drop_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Delete the scratch tables that this process has written since ``scratch_mark()``.
+def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the scratch tables that this process has written since ``scratch_mark()``, but for the last ``keep``.
 
     Results that still read them must have been written or read before.
     """
-    for path in _written[since:]:
+    until = max(since, len(_written) - keep)
+    for path in _written[since:until]:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    del _written[since:]
+    del _written[since:until]
