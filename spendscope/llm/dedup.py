@@ -19,12 +19,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.llm.batches import in_small_batches, tidy
+from spendscope.llm.groups import sorted_groups
 from spendscope.llm.members import bitmap, bits_for, marked
 from spendscope.session import stored
 
@@ -114,18 +114,21 @@ def _sender(owners: int, fingerprint_bits: int, block_rows: int):
     return send
 
 
-def _answer(messages: pd.DataFrame) -> pd.DataFrame:
-    """The bitmaps of one owner, as 64-bit words: what other messages hold, too."""
-    decoded = [golomb_decode(m) for m in messages["message"]]
-    distinct, count = np.unique(np.concatenate(decoded), return_counts=True)
-    shared = distinct[count > 1]
-    answers = []
-    for values in decoded:
-        bits = np.zeros(-(-len(values) // 64) * 64, np.uint8)
-        bits[: len(values)] = np.isin(values, shared, assume_unique=True)
-        answers.append(np.packbits(bits, bitorder="little").view("<i8"))
-    out = messages[["block", "owner"]].assign(answer=answers)
-    return out[[a.any() for a in answers]]
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bitmaps of each owner, as 64-bit words: what other messages hold, too."""
+    for group in sorted_groups(batches, ["owner"]):
+        decoded = [golomb_decode(m) for m in group.column("message").to_pylist()]
+        distinct, count = np.unique(np.concatenate(decoded), return_counts=True)
+        shared = distinct[count > 1]
+        answers = []
+        for values in decoded:
+            bits = np.zeros(-(-len(values) // 64) * 64, np.uint8)
+            bits[: len(values)] = np.isin(values, shared, assume_unique=True)
+            answers.append(np.packbits(bits, bitorder="little").view("<i8"))
+        found = pa.array([bool(a.any()) for a in answers])
+        columns = [group.column(c).combine_chunks().filter(found) for c in ("block", "owner")]
+        some = pa.array([a for a in answers if a.any()], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([*columns, some], ["block", "owner", "answer"])
 
 
 def suspect_hashes(
@@ -151,8 +154,9 @@ def suspect_hashes(
     answers = (
         sent.where(F.col("message").isNotNull())
         .select("block", "owner", "message")
-        .groupBy("owner")
-        .applyInPandas(_answer, "block long, owner int, answer array<long>")
+        .repartition("owner")
+        .sortWithinPartitions("owner")
+        .mapInArrow(tidy(_answer), "block long, owner int, answer array<long>")
     )
     bit = F.expr("shiftright(answer[cast(place div 64 as int)], place % 64) & 1")
     shared = sent.where("not copied").join(answers, ["block", "owner"]).where(bit == 1)

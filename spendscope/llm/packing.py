@@ -9,13 +9,13 @@ the pieces per shard and is far below a percent at the default.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain, repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +29,8 @@ END_ID = 2
 SHARD_PIECES = 1 << 17
 #: Distinct words whose ids a task remembers, about 150 bytes each.
 REMEMBERED = 1 << 18
+#: Words given to the tokenizer together; its answers are a KB and more for each.
+AT_ONCE = 1 << 10
 SHARD_SEQUENCES = 1 << 40
 
 
@@ -54,6 +56,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        # Spark runs a worker for each core; more threads would only take memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -74,8 +78,10 @@ class WordEncoder:
                 found[i] = [x.id for x in self.model.tokenize(spelled)]
             else:
                 rest.append(i)
-        for i, coded in zip(rest, self.tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-            found[i] = coded.ids
+        for low in range(0, len(rest), AT_ONCE):
+            some = rest[low : low + AT_ONCE]
+            for i, coded in zip(some, self.tokenizer.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)):
+                found[i] = coded.ids
         self.known.update(zip(hashes.tolist(), range(len(self.known), len(self.known) + len(texts))))
         self.at.append(self.at[-1][-1] + np.cumsum([len(f) for f in found]))
         self.ids.append(np.fromiter(chain.from_iterable(found), np.int32))
@@ -96,7 +102,7 @@ class WordEncoder:
         # The names of special tokens are found before letters are made small.
         named = b"<|" in raw.tobytes()
         hashes = bytes_hash((PLAIN if named else LOWER).folded[raw], start, end)
-        code, distinct = pd.factorize(hashes)
+        distinct, code = np.unique(hashes, return_inverse=True)
         if len(self.known) + len(distinct) > REMEMBERED:
             self._forget()
         index = np.fromiter(map(self.known.get, distinct.tolist(), repeat(-1)), np.int64, len(distinct))

@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,7 +100,9 @@ def reachable(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarr
     return most.max(axis=0) > L1
 
 
-def _fit(sample: pd.DataFrame) -> pd.DataFrame:
+def _fit(sample):
+    import pandas as pd  # here only: workers that score texts do without
+
     # The rows' order must not depend on how they arrived.
     sample = sample.sort_values(["id", "body"], kind="stable")
     rows = [f for words in split_words(pa.array(sample["body"], pa.large_string()), LOWER_ALNUM) for f in features(words)]
