@@ -60,15 +60,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back; this runs a job.
 
     Later queries start from the table instead of repeating the work, lost executors cost
     nothing, and the planner knows the size: it broadcasts the table in a join only when
-    that is below ``spark.sql.autoBroadcastJoinThreshold``.
+    that is below ``spark.sql.autoBroadcastJoinThreshold``. ``options`` go to the writer.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
