@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from spendscope.session import stored
 
 #: Phrases and their labels.
-PHRASES = (("the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
 #: Sentences of well-known license notices and their labels.
 TEMPLATES = (

@@ -6,7 +6,7 @@ import re
 
 from brute import UPPER, documents, edge_cases, sentence
 
-from spendscope.llm import licenses
+from spendscope.llm import licenses, queries
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -54,6 +54,19 @@ def test_scan(spark):
     assert sorted([tuple(r) for r in got], key=repr) == sorted([(i, *expected(t)) for i, t in rows], key=repr)
 
 
+def test_phrases_of_the_query(spark, tmp_path):
+    rows = [
+        (1, "the mit license"), (2, "Under  the\n\nMIT-License, under the mit license"), (3, "a b under the mit license 2"), (4, "under mit license"),
+        (5, "Apache License, Version 2.0 under the mit licenses"), (6, "x cc by nc under the MIT license"), (7, "sunder the mit license"), (8, None),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op7_license_scan(spark, str(tmp_path)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()
+    assert sorted(map(tuple, got)) == [
+        (1, 3, 0, None, None, ""), (2, 8, 2, 0, 4, "mit"), (3, 7, 1, 2, 2, "mit"), (4, 3, 0, None, None, ""),
+        (5, 9, 1, 0, 0, "apache-2"), (6, 8, 2, 1, 4, "cc-by-nc,mit"), (7, 4, 0, None, None, ""), (8, 0, 0, None, None, ""),
+    ]
+
+
 def test_empty(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
 
