@@ -9,7 +9,8 @@ character, so the lattice falls into units: a word with the spaces before it. Th
 of all new units of some texts run at once on arrays, forward and backward, which gives a
 unit's best path and how much its second-best path loses. The N best paths of a text differ from
 the best one only in the N - 1 units that lose least; A* runs on the lattices of these, and their
-paths are combined.
+paths are combined. The arrays hold the units side by side, one depth after the other, and all
+units walk a trie of the pieces from one depth at once.
 
 A piece's score is ``-ln(2 + rank)`` by its place in the vocabulary, which lists merges by
 falling frequency, in millionths so that sums are exact. A character that is no piece is
@@ -23,6 +24,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendscope.llm.batches import in_small_batches, tidy
-from spendscope.llm.words import U64, bytes_hash
+from spendscope.llm.words import bytes_hash
 
 UNIT = 1_000_000
 #: Bytes of a unit up to which it is handled on arrays; longer ones are rare. Both ways find the same paths.
@@ -40,7 +42,6 @@ SHORT = 64
 BLOCK = 1 << 22
 #: Units that a task remembers.
 REMEMBERED = 1 << 19
-_SLOTS = 1 << 22
 NEVER = np.iinfo(np.int64).min // 4
 
 
@@ -70,18 +71,36 @@ class Vocabulary:
                 self.spelled.append(own)
                 self.piece[own] = (-round(math.log(2 + len(self.piece)) * UNIT), i)
         self.byte_score = min(s for s, _ in self.piece.values()) - 10 * UNIT
-        texts = list(self.piece)
-        at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        hashes = bytes_hash(np.frombuffer(b"".join(texts), np.uint8), at[:-1], at[1:])
-        order = np.argsort(hashes)
-        self.hash = hashes[order]
-        pairs = np.array([self.piece[t] for t in texts], np.int64)[order]
-        self.score, self.id = pairs[:, 0], pairs[:, 1]
-        self.maybe = np.zeros(_SLOTS, bool)
-        self.maybe[(hashes & U64(_SLOTS - 1)).astype(np.int64)] = True
-        self.lengths = sorted(set(map(len, texts)))
-        self.spelled_data = np.frombuffer(b"".join(self.spelled), np.uint8)
-        self.spelled_at = np.concatenate([[0], np.cumsum([len(s) for s in self.spelled])])
+        self._plant()
+        self.lengths = sorted(set(map(len, self.piece)))
+        self.pieces = pa.array(self.spelled, pa.binary())
+
+    def _plant(self) -> None:
+        """A trie of the pieces: a row of the table holds the next nodes of a node, by letter; 0 is none, 1 the root."""
+        below: list[dict[int, int]] = [{}, {}]
+        ends = {}
+        for text, own in self.piece.items():
+            node = 1
+            for byte in text:
+                node = below[node].setdefault(byte, len(below))
+                if node == len(below):
+                    below.append({})
+            ends[node] = own
+        # Nodes with others below them come first; only these have rows.
+        order = sorted(range(len(below)), key=lambda n: n > 1 and not below[n])
+        number = {n: i for i, n in enumerate(order)}
+        self.rows = sum(n < 2 or bool(below[n]) for n in order)
+        self.letter = np.zeros(256, np.intp)
+        used = sorted({byte for row in below for byte in row})
+        self.letter[used] = np.arange(1, len(used) + 1)
+        self.next = np.zeros((self.rows, len(used) + 1), np.min_scalar_type(len(order)))
+        for n in order[: self.rows]:
+            for byte, m in below[n].items():
+                self.next[number[n], self.letter[byte]] = number[m]
+        # 0: no piece ends here.
+        self.node_score, self.node_id = np.zeros(len(order), np.int64), np.zeros(len(order), np.int32)
+        for n, own in ends.items():
+            self.node_score[number[n]], self.node_id[number[n]] = own
 
     def edges(self, unit: bytes, end: int) -> Iterator[tuple[int, int]]:
         """Where the pieces start that end at ``end``, and their scores."""
@@ -92,7 +111,7 @@ class Vocabulary:
             if found:
                 yield end - length, found[0]
         start = end - 1
-        while unit[start] & 0xC0 == 0x80:
+        while start and unit[start] & 0xC0 == 0x80:
             start -= 1
         if unit[start:end] not in self.piece:
             yield start, self.byte_score * (end - start)
@@ -145,93 +164,109 @@ class Vocabulary:
         """
         units, size = len(at) - 1, len(raw)
         length = np.diff(at)
-        unit_of = np.repeat(np.arange(units), length)
-        end_of = at[1:][unit_of]
-        starts, ends, scores, ids = [], [], [], []
-        for n in self.lengths:
-            start = np.flatnonzero(np.arange(n, size + n) <= end_of)
-            hashes = bytes_hash(raw, start, start + n)
-            near = np.flatnonzero(self.maybe[(hashes & U64(_SLOTS - 1)).astype(np.int64)])
-            place = np.minimum(np.searchsorted(self.hash, hashes[near]), len(self.hash) - 1)
-            hit = self.hash[place] == hashes[near]
-            start, place = start[near[hit]], place[hit]
-            starts.append(start)
-            ends.append(start + n)
-            scores.append(self.score[place])
-            ids.append(self.id[place])
-        # Characters that are no piece.
-        head = np.flatnonzero((raw & 0xC0) != 0x80)
-        tail = np.append(head[1:], size)
-        whole = np.zeros(size + 1, np.int64)
-        for start, end in zip(starts, ends):
-            np.maximum.at(whole, start, np.where(end == tail[np.searchsorted(head, start)], 1, 0))
-        bare = whole[head] == 0
-        starts.append(head[bare])
-        ends.append(tail[bare])
-        scores.append(self.byte_score * (tail - head)[bare])
-        ids.append(np.full(bare.sum(), -1))
-        start, end, score, id = map(np.concatenate, (starts, ends, scores, ids))
-
-        # A unit of n bytes has n + 1 nodes.
-        unit = unit_of[start]
-        source, target = start + unit, end + unit
-        first, last = at[:-1] + np.arange(units), at[1:] + np.arange(units)
-        order = np.lexsort((source, target, end - at[unit]))
-        start, end, score, id, unit, source, target = (x[order] for x in (start, end, score, id, unit, source, target))
-        forward = np.full(size + units, NEVER)
-        forward[first] = 0
-        chosen = np.full(size + units, -1)
-        depth = end - at[unit]
-        cuts = np.searchsorted(depth, np.arange(1, length.max(initial=0) + 2))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a < b:
-                reach = forward[source[a:b]] + score[a:b]
-                group = np.flatnonzero(np.diff(target[a:b], prepend=-1))
-                top = np.maximum.reduceat(reach, group)
-                spread = np.repeat(top, np.diff(np.append(group, b - a)))
-                edge = np.where(reach == spread, np.arange(a, b), len(start))
-                forward[target[a:b][group]] = top
-                chosen[target[a:b][group]] = np.minimum.reduceat(edge, group)
-        backward = np.full(size + units, NEVER)
-        backward[last] = 0
-        back_order = np.lexsort((source, -(start - at[unit])))
-        depth = (start - at[unit])[back_order]
-        for at_depth in np.unique(depth)[::-1]:
-            own = back_order[np.searchsorted(-depth, -at_depth, "left") : np.searchsorted(-depth, -at_depth, "right")]
-            np.maximum.at(backward, source[own], score[own] + backward[target[own]])
-        on_best = np.zeros(len(start), bool)
-        here = last[length > 0]
-        stop = first[length > 0]
-        while len(here):
-            edge = chosen[here]
-            on_best[edge] = True
-            here = source[edge]
-            going = here != stop
-            here, stop = here[going], stop[going]
-        total = forward[last]
+        longest = int(length.max(initial=0))
+        # By falling length, the units with a node at depth j are the first wide[j], and lie side by side in all arrays.
+        order = np.argsort(-length, kind="stable")
+        begin = at[:-1][order]
+        wide = np.append(np.searchsorted(-length[order], -np.arange(longest + 1), "right"), 0)
+        node = np.concatenate([[0], np.cumsum(wide)])
+        at_depth = [slice(a, b) for a, b in zip(node[:-1], node[1:])]
+        ending = [slice(b, a) for a, b in zip(wide[:-1], wide[1:])]
+        letters = [self.letter[raw[begin[:w] + j]] for j, w in enumerate(wide[1:-1])]
+        heads = (raw & 0xC0) != 0x80
+        heads[at[:-1][length > 0]] = True
+        head = np.flatnonzero(heads)
+        char = np.zeros(size, np.int64)
+        char[head] = np.diff(head, append=size)
+
+        forward = np.full(node[-1], NEVER)
+        forward[at_depth[0]] = 0
+        chosen = np.zeros(node[-1], np.int8 if longest < 128 else np.int64)
+        chosen_id = np.zeros(node[-1], np.int32)
+        edges: list[tuple[int, int, np.ndarray, np.ndarray | int]] = []
+
+        def enter(j: int, n: int, own: np.ndarray, score: np.ndarray | int, id: np.ndarray | int) -> None:
+            """Pieces of ``n`` bytes from depth ``j``, at most one in a unit; of paths as good, the longest piece stays."""
+            edges.append((j, n, own, score))
+            reach = forward[at_depth[j]][own] + score
+            target = own + node[j + n]
+            better = np.flatnonzero(reach > forward[target])
+            target = target[better]
+            forward[target] = reach[better]
+            chosen[target] = n
+            chosen_id[target] = id[better] if isinstance(id, np.ndarray) else id
+
+        for j, letter in enumerate(letters):
+            bare = char[begin[: len(letter)] + j]  # bytes of the character here, 0 if it is a piece
+            state = self.next[1, letter]
+            own = np.flatnonzero(state)
+            state = state[own]
+            for n in range(1, longest - j + 1):
+                score = self.node_score[state]
+                hit = np.flatnonzero(score)
+                if len(hit):
+                    found = own[hit]
+                    enter(j, n, found, score[hit], self.node_id[state[hit]])
+                    if n <= 4:
+                        bare[found[bare[found] == n]] = 0
+                # On to the next byte, where there is one.
+                upto = np.searchsorted(own, wide[j + n + 1]) if n < longest - j else 0
+                going = np.flatnonzero(state[:upto] < self.rows)
+                own = own[going]
+                state = self.next[state[going], letters[j + n][own]] if len(going) else state[:0]
+                alive = np.flatnonzero(state)
+                if not len(alive):
+                    break
+                own, state = own[alive], state[alive]
+            # Characters that are no piece.
+            for n in np.flatnonzero(np.bincount(bare)[1:]) + 1 if bare.any() else ():
+                enter(j, n, np.flatnonzero(bare == n), self.byte_score * int(n), -1)
+
+        # The best paths from their ends.
+        on_best = np.zeros(node[-1], bool)
+        total, path_length, path_id = np.zeros(units, np.int64), np.zeros(size, chosen.dtype), np.zeros(size, np.int32)
+        backward = np.full(node[-1], NEVER)
+        for j in range(longest, -1, -1):
+            total[order[ending[j]]] = forward[at_depth[j]][ending[j]]
+            backward[at_depth[j]][ending[j]] = 0
+            on_best[at_depth[j]][ending[j]] = True
+            if j:
+                own = np.flatnonzero(on_best[at_depth[j]])
+                n, id = chosen[at_depth[j]][own], chosen_id[at_depth[j]][own]
+                start = j - n.astype(np.int64)
+                on_best[node[start] + own] = True
+                path_length[begin[own] + start] = n
+                path_id[begin[own] + start] = id
         other = np.full(units, NEVER)
-        off = np.flatnonzero(~on_best)
-        np.maximum.at(other, unit[off], forward[source[off]] + score[off] + backward[target[off]])
-        loss = np.where(other > NEVER // 2, total - other, -1)
-
-        path = np.flatnonzero(on_best)
-        path = path[np.argsort(start[path], kind="stable")]
-        spelled = id[path] < 0
-        count = np.where(spelled, (end - start)[path], 1)
-        out = np.repeat(id[path], count).astype(np.int32)
-        of = np.repeat(np.arange(len(path)), count)
-        byte = start[path][of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-        by_byte = spelled[of]
-        out[by_byte] = self.byte[raw[byte[by_byte]]]
-        ids_of = np.bincount(unit[path], count, units).astype(np.int64) if len(path) else np.zeros(units, np.int64)
-        return total, loss, out, np.concatenate([[0], np.cumsum(ids_of)])
+        for j, n, own, score in reversed(edges):
+            target, source = own + node[j + n], own + node[j]
+            rest = backward[target] + score
+            backward[source] = np.maximum(backward[source], rest)
+            off = np.flatnonzero(~on_best[target] | (chosen[target] != n))
+            own = own[off]
+            other[own] = np.maximum(other[own], forward[source[off]] + rest[off])
+        loss = np.full(units, -1)
+        loss[order] = np.where(other > NEVER // 2, total[order] - other, -1)
+
+        path = np.flatnonzero(path_length)
+        spelled = path_id[path] < 0
+        count = np.where(spelled, path_length[path], 1).astype(np.int64)
+        out = np.repeat(path_id[path], count)
+        place = np.cumsum(count) - count
+        for k in range(int(count.max(initial=0)) if spelled.any() else 0):
+            own = np.flatnonzero(spelled & (count > k))
+            out[place[own] + k] = self.byte[raw[path[own] + k]]
+        ids_of = np.append(place, len(out))[np.searchsorted(path, at)]
+        return total, loss, out, ids_of
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text that the ids spell, without the space that is put before it."""
-        count = (self.spelled_at[1:] - self.spelled_at[:-1])[ids]
-        skip = self.spelled_at[ids] - (np.cumsum(count) - count)
-        data = self.spelled_data[np.repeat(skip, count) + np.arange(count.sum())].tobytes()
-        return data[1:]
+        if not len(ids):
+            return b""
+        spelled = self.pieces.take(pa.array(ids))
+        _, at, data = spelled.buffers()
+        first, last = np.frombuffer(at, np.int32)[[spelled.offset, spelled.offset + len(ids)]].tolist()
+        return data.slice(first, last - first).to_pybytes()[1:]
 
 
 class Segmenter:
@@ -247,13 +282,13 @@ class Segmenter:
         self.score = self.loss = np.zeros(0, np.int64)
         self.ids, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def _learn(self, hashes: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+    def _learn(self, hashes: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Remembers new units; returns their numbers."""
         short = end - start <= SHORT
         size = (end - start)[short]
         at = np.concatenate([[0], np.cumsum(size)])
         data = raw[np.repeat(start[short] - at[:-1], size) + np.arange(at[-1])]
         score, loss, ids, where = self.vocabulary.best(data, at)
-        order = [hashes[short]]
         long = np.flatnonzero(~short)
         if len(long):
             found = [self.vocabulary.search(raw[start[i] : end[i]].tobytes(), 2) for i in long]
@@ -261,12 +296,13 @@ class Segmenter:
             loss = np.append(loss, [f[0][0] - f[1][0] if len(f) > 1 else -1 for f in found])
             ids = np.append(ids, np.concatenate([f[0][1] for f in found])).astype(np.int32)
             where = np.append(where, where[-1] + np.cumsum([len(f[0][1]) for f in found]))
-            order.append(hashes[long])
-        names = np.concatenate(order).tolist()
-        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
+        numbers = np.empty(len(hashes), np.int64)
+        numbers[np.append(np.flatnonzero(short), long)] = np.arange(len(hashes)) + len(self.known)
+        self.known.update(zip(hashes.tolist(), numbers.tolist()))
         self.score, self.loss = np.append(self.score, score), np.append(self.loss, loss)
         self.at = np.append(self.at, self.at[-1] + where[1:])
         self.ids = np.append(self.ids, ids)
+        return numbers
 
     def texts(self, texts: list[bytes]) -> Iterator[list[tuple[int, np.ndarray]]]:
         """For each text its best segmentations: scores and ids, best first."""
@@ -292,13 +328,12 @@ class Segmenter:
         code, distinct = pd.factorize(bytes_hash(raw, start, end))
         if len(self.known) + len(distinct) > REMEMBERED:
             self._forget()
-        index = np.array([self.known.get(h, -1) for h in distinct.tolist()], np.int64)
+        index = np.fromiter(map(self.known.get, distinct.tolist(), repeat(-1)), np.int64, len(distinct))
         fresh = np.flatnonzero(index < 0)
         if len(fresh):
             where = np.empty(len(distinct), np.int64)
             where[code[::-1]] = np.arange(len(code))[::-1]
-            self._learn(distinct[fresh], raw, start[where[fresh]], end[where[fresh]])
-            index = np.array([self.known[h] for h in distinct.tolist()], np.int64)
+            index[fresh] = self._learn(distinct[fresh], raw, start[where[fresh]], end[where[fresh]])
         index = index[code]
         score, loss = self.score[index], self.loss[index]
         count = self.at[index + 1] - self.at[index]

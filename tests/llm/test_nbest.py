@@ -85,6 +85,44 @@ def test_length_of_a_unit_changes_nothing(vocabulary, monkeypatch):
         assert [[(s, ids.tolist()) for s, ids in f] for f in got] == [[(s, ids.tolist()) for s, ids in f] for f in want]
 
 
+def words_of(seed, n):
+    rng = random.Random(seed)
+    return sorted({b" " + "".join(rng.choice("etaoin shrdlu-".replace(" ", "")) for _ in range(rng.randrange(2, 13))).encode() for _ in range(n)})
+
+
+def side_by_side(units):
+    return np.frombuffer(b"".join(units), np.uint8), np.cumsum([0] + [len(u) for u in units])
+
+
+def test_units_side_by_side(vocabulary):
+    rng = random.Random(3)
+    odd = ["".join(rng.choice("aet=-0é日🙂\x00ß") for _ in range(rng.randrange(1, 40))).encode() for _ in range(300)]
+    units = [*odd, b" ", b"\n", "é".encode(), b" the", *words_of(4, 500)]
+    rng.shuffle(units)
+    raw, at = side_by_side(units)
+    total, loss, ids, where = vocabulary.best(raw, at)
+    for i, unit in enumerate(units):
+        found = vocabulary.search(unit, 2)
+        assert total[i] == found[0][0] and ids[where[i] : where[i + 1]].tolist() == found[0][1], unit
+        assert loss[i] == (found[0][0] - found[1][0] if len(found) > 1 else -1), unit
+    nothing = vocabulary.best(*side_by_side([]))
+    assert [len(x) for x in nothing] == [0, 0, 0, 1]
+
+
+def test_passes_on_arrays_are_cheap(vocabulary):
+    units = words_of(6, 60_000)
+    raw, at = side_by_side(units)
+
+    def seconds(run):
+        start = time.process_time()
+        run()
+        return time.process_time() - start
+
+    on_arrays = min(seconds(lambda: vocabulary.best(raw, at)) for _ in range(3))
+    one_by_one = min(seconds(lambda: [vocabulary.search(u, 2) for u in units[::30]]) for _ in range(3)) * 30
+    assert on_arrays * 9 < one_by_one
+
+
 def test_unfit_models_are_refused(monkeypatch):
     import sentencepiece
 
