@@ -243,7 +243,11 @@ class Whitening:
             deviation = [v if v <= LONG_MAX else None for v in (exact * exact).sum(axis=1).tolist()]
         with np.errstate(divide="ignore", invalid="ignore"):
             inverse = np.where(self.values > 0, 1 / np.sqrt(self.values), np.nan)
-        return deviation, (off.astype(float) / self.n) @ self.vectors * inverse
+        # Added up by dimension: a matrix product's last bit depends on where in a batch a row lies.
+        centred, white = off.astype(float) / self.n, np.zeros((len(x), len(self.values)))
+        for own, vector in zip(centred.T, self.vectors):
+            white += own[:, None] * vector
+        return deviation, white * inverse
 
 
 def vectors_of(df: DataFrame, id: str, vector: str, factor: int = 256) -> DataFrame:

@@ -59,6 +59,17 @@ def test_against_plain_numpy(spark):
     assert sorted(map(repr, again[0])) == sorted(map(repr, again[1]))
 
 
+def test_place_in_a_batch_changes_nothing():
+    rng = np.random.default_rng(1)
+    for width in (3, 12, 64):
+        x = rng.integers(-300, 300, (67, width))
+        model = whitening.Whitening(67, x.sum(axis=0).tolist(), np.array([4.0, 3, 2, 1]), rng.normal(size=(width, 4)), np.full(4, 0.25))
+        whole = model.apply(x)[1]
+        for low in range(67):
+            for high in (low + 1, low + 2, low + 5):
+                assert model.apply(x[low:high])[1].tolist() == whole[low:high].tolist()
+
+
 def test_few_dimensions_and_no_variance(spark):
     rows = [(1, [0.5, 1.0]), (2, [0.25, 3.0]), (3, [1.0, -1.0])]
     compare(whitening.whiten(table(spark, rows)).collect(), rows)
