@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendscope.llm.batches import give_back, in_small_batches, tidy
+from spendscope.llm.batches import ROWS, give_back, in_small_batches, tidy
 from spendscope.llm.words import LOWER_ALNUM, U64, Words, as_long, bytes_hash, mix, split_words, windows_hash
 from spendscope.session import stored
 
@@ -26,6 +27,8 @@ from spendscope.session import stored
 SAMPLE_ROWS = 8192
 FEATURE_BITS = 48
 STEMS = (4, 6, 8)
+#: Places of the table in which the fit counts the texts of features, a byte each for clean and toxic ones.
+SLOTS = 1 << 23
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 12.0, 1.0
 TOXIC_WEIGHT = 3.0
@@ -74,7 +77,7 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, size: int, epochs: int = EP
         rate = (BETA + np.sqrt(n[at])) / ALPHA + L2
         return np.where(np.abs(own) > penalty[at], -(own - np.sign(own) * penalty[at]) / rate, 0.0)
 
-    rows = [np.append(r, size) for r in rows]
+    rows = [np.append(r, np.array(size, r.dtype)) for r in rows]
     for turn in range(epochs):
         for i in np.random.default_rng(turn).permutation(len(rows)):
             at = rows[i]
@@ -100,21 +103,57 @@ def reachable(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarr
     return most.max(axis=0) > L1
 
 
-def _fit(sample):
-    import pandas as pd  # here only: workers that score texts do without
+def _slot(found: np.ndarray) -> np.ndarray:
+    return (found & U64(SLOTS - 1)).astype(np.int64)
 
-    # The rows' order must not depend on how they arrived.
-    sample = sample.sort_values(["id", "body"], kind="stable")
-    rows = [f for words in split_words(pa.array(sample["body"], pa.large_string()), LOWER_ALNUM) for f in features(words)]
-    labels = sample["toxic"].to_numpy(float)
-    distinct, code = np.unique(np.concatenate(rows), return_inverse=True)
-    rows = np.split(code, np.cumsum([len(r) for r in rows])[:-1])
+
+def candidates(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """For each slot, whether any of its features may be ``reachable``.
+
+    Counts the texts with a feature in the slot, up to 255: as many as hold any one of them, or more.
+    """
+    texts = np.zeros((2, SLOTS), np.uint8)
+    for own, label in zip(rows, labels):
+        count, at = texts[int(label)], _slot(own)
+        count[at] = np.minimum(count[at], 254) + 1
+    enough = [np.argmax(np.append(np.arange(255) * (EPOCHS * weight) > L1, True)) for weight in (1, TOXIC_WEIGHT)]
+    return (texts[0] >= enough[0]) | (texts[1] >= enough[1])
+
+
+def coded(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Replaces the features in ``rows`` by their places in the list of reachable ones, which is returned.
+
+    Most features stand in too few texts to count. They go before the others are sorted, some
+    rows at a time, so no more than the rows themselves is held.
+    """
+    kept = candidates(rows, labels)
+    for i, own in enumerate(rows):
+        rows[i] = own[kept[_slot(own)]]
+    distinct = np.zeros(0, U64)
+    for low in range(0, len(rows), ROWS):
+        some = np.sort(np.concatenate([distinct, *rows[low : low + ROWS]]))
+        distinct = some[np.append(True, some[1:] != some[:-1])] if len(some) else some
+    for i, own in enumerate(rows):
+        rows[i] = np.searchsorted(distinct, own).astype(np.int32)
     used = reachable(rows, labels, len(distinct))
-    place = np.cumsum(used) - 1
-    weights, bias = ftrl([place[r[used[r]]] for r in rows], labels, int(used.sum()))
+    place = (np.cumsum(used) - 1).astype(np.int32)
+    for i, own in enumerate(rows):
+        rows[i] = place[own[used[own]]]
+    return distinct[used]
+
+
+def _fit(sample: pa.Table) -> pa.Table:
+    # The rows' order must not depend on how they arrived.
+    order = pc.sort_indices(sample["id"])
+    texts, labels = sample["body"].cast(pa.large_string()).take(order), sample["toxic"].take(order).to_numpy().astype(float)
+    del sample
+    rows = [f for words in split_words(texts, LOWER_ALNUM) for f in features(words)]
+    del texts
+    used = coded(rows, labels)
+    weights, bias = ftrl(rows, labels, len(used))
     kept = np.flatnonzero(weights)
-    found = pd.DataFrame({"feature": np.append(as_long(distinct[used][kept]), -1), "weight": np.append(weights[kept], bias)})
-    del rows, code, distinct, used, place
+    found = pa.table({"feature": np.append(as_long(used[kept]), -1), "weight": np.append(weights[kept], bias)})
+    del rows, used
     give_back()
     return found
 
@@ -138,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     sample = texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
     # An id that is repeated teaches one text, the greatest.
     sample = sample.groupBy("id").agg(F.max("body").alias("body"), F.first("toxic").alias("toxic"))
-    return sample.groupBy(F.lit(0).alias("all")).applyInPandas(_fit, "feature long, weight double")
+    return sample.groupBy(F.lit(0).alias("all")).applyInArrow(_fit, "feature long, weight double")
 
 
 def _scorer(feature: np.ndarray, weight: np.ndarray, bias: float):

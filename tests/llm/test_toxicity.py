@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -124,3 +125,41 @@ def test_edge_cases(spark):
     unlabelled = toxicity.toxicity(docs, labels.limit(0), F.col("doc_id")).collect()
     assert len(unlabelled) == len(rows) and all(r.score < 0.5 for r in unlabelled)
     assert toxicity.toxicity(docs.limit(0), labels, F.col("doc_id")).count() == 0
+
+
+def sparse_rows(n, rng, toxic):
+    """Rows of features of which most stand in a single row; those with the feature ``toxic`` are labelled."""
+    rows = [np.unique(np.append(rng.integers(0, 1 << 48, 900), rng.zipf(1.3, 100) % 2000)).astype(np.uint64) for _ in range(n)]
+    return rows, np.array([float(toxic in r) for r in rows])
+
+
+@pytest.mark.parametrize("slots", [1 << 4, 1 << 12, toxicity.SLOTS])
+def test_coded_against_all_features(monkeypatch, slots):
+    monkeypatch.setattr(toxicity, "SLOTS", slots)
+    rows, labels = sparse_rows(300, np.random.default_rng(4), 7)
+    distinct, code = np.unique(np.concatenate(rows), return_inverse=True)
+    every = np.split(code, np.cumsum([len(r) for r in rows])[:-1])
+    used = toxicity.reachable(every, labels, len(distinct))
+    got = toxicity.coded(rows, labels)
+    assert 0 < len(got) < len(distinct) and (got == distinct[used]).all()
+    assert all((got[own] == distinct[r[used[r]]]).all() for own, r in zip(rows, every))
+    empty = [np.zeros(0, np.uint64)] * 3
+    assert len(toxicity.coded(empty, np.array([0.0, 1, 0]))) == 0 and not any(map(len, empty))
+
+
+def test_counts_beyond_a_byte():
+    rows = [np.array([5], np.uint64)] * 1000
+    assert toxicity.candidates(rows, np.zeros(1000))[5] and toxicity.candidates(rows, np.ones(1000))[5]
+
+
+def test_coding_takes_less_than_the_features():
+    """Sorting all of them with their places took several times their size."""
+    rows, labels = sparse_rows(8000, np.random.default_rng(5), 1500)
+    size = sum(r.nbytes for r in rows)
+    tracemalloc.start()
+    try:
+        toxicity.coded(rows, labels)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert labels.any() and most < size
